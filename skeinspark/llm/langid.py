@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import documents, held_out, ready
+from .runtime import documents, held_out, lean, ready
 from .textnp import U, mix
 
 SHARE = 5e-5
@@ -111,7 +111,7 @@ def fit(rows: DataFrame, share: float = SHARE) -> Filter:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(grams[i : i + n]), pa.array(counts[i : i + n])], names=["lang", "gram", "n"])
 
     ready(rows.sparkSession)
-    known = rows.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL").mapInArrow(run, "lang string, gram bigint, n bigint")
+    known = rows.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL").mapInArrow(lean(run), "lang string, gram bigint, n bigint")
     counts = known.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rare = F.struct(F.sum("n").alias("total"), F.count("*").alias("grams"))
     counts = counts.persist()
@@ -144,7 +144,7 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = documents(docs).select("doc_id", held_out().alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(lean(run), "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
 def learn_and_identify(docs: DataFrame, share: float = SHARE) -> DataFrame:

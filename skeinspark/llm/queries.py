@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, quality, tokens, toxicity
+from . import langid, quality, similarity, substrings, tokens, toxicity
 from .runtime import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -20,6 +21,15 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op4_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.groups(table(spark, sf_dir, "documents"), k=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.learn_and_identify(table(spark, sf_dir, "documents"))
 
@@ -30,5 +40,5 @@ def op10_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxic_segments, op3_line_frequency, op9_language_bitmask, op10_prefix_tokens)}
+QUERIES = {f.__name__: f for f in (op1_toxic_segments, op3_line_frequency, op4_repeated_phrases, op6_jaccard_groups, op9_language_bitmask, op10_prefix_tokens)}
 ORACLE_SQL: dict[str, str] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import zipfile
 from pathlib import Path
@@ -9,8 +10,6 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words of the contracts: runs of anything but space and the five ASCII control blanks.
-WORD = r"[^\x20\x09-\x0D]+"
 #: Rows up to which a side may be broadcast, counted before the hint is given.
 BROADCAST_ROWS = 200_000
 #: Rows of an Arrow batch; documents are long, so fewer than Spark's 10,000.
@@ -78,6 +77,31 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def trim() -> None:
+    """Give the memory that a Python worker has freed back to the machine; a reused worker would keep it."""
+    import ctypes
+    import gc
+
+    gc.collect(0)
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def lean(run):
+    """run(batches) for mapInArrow, such that its worker keeps no memory between tasks."""
+
+    def wrapped(batches):
+        import pyarrow as pa
+
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return wrapped
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df, marked for broadcast if a count shows that it has at most so many rows; else as it is, for a shuffled join that AQE may split."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -86,7 +110,3 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def let(value: Column, body) -> Column:
     """body(value) with value computed once; plain references would be inlined and computed again at each use."""
     return F.transform(F.array(value), body)[0]
-
-
-def regex_words(text: Column | str) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD.replace("\\", "\\")), F.lit(0))

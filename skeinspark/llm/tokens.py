@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import documents, ready
+from .runtime import documents, lean, ready
 
 #: Runs whose counts a worker remembers, and the longest run that is remembered.
-MEMO, MEMO_BYTES = 400_000, 64
+MEMO, MEMO_BYTES = 1_000_000, 64
 #: Bytes of one text that are split at a time.
 PIECE = 1 << 22
 
@@ -41,17 +41,25 @@ class Counter:
 
     def count(self, runs: list[bytes]) -> list[int]:
         memo = self.memo
-        if new := [r for r in set(runs) if r not in memo]:
+        if new := set(runs).difference(memo):
             if len(memo) + len(new) > MEMO:
                 memo = self.memo = {}
-                new = list(set(runs))
-            found = self.tokenizer.encode_batch_fast([r.decode() for r in new], add_special_tokens=False)
-            memo.update(zip(new, map(len, found)))
-        out = list(map(memo.__getitem__, runs))
-        if any(len(r) > MEMO_BYTES for r in new):
+                new = set(runs)
+            # ASCII letters and a run of plain punctuation after them are words of their own for the pre-tokenizer,
+            # which also lower-cases: their counts add up
+            parts = {}
             for r in new:
-                if len(r) > MEMO_BYTES:
-                    del memo[r]
+                core = r.rstrip(b".,!?;:")
+                parts[r] = (core.lower(), r[len(core) :]) if core.isalpha() else (r, b"")
+            need = [x for x in {x for p in parts.values() for x in p} if x not in memo]
+            found = self.tokenizer.encode_batch_fast([x.decode() for x in need], add_special_tokens=False)
+            memo.update(zip(need, map(len, found)))
+            for r, (core, tail) in parts.items():
+                memo[r] = memo[core] + memo[tail] if tail else memo[core]
+        out = list(map(memo.__getitem__, runs))
+        for r in new:
+            if len(r) > MEMO_BYTES:
+                memo.pop(r, None)
         return out
 
 
@@ -139,4 +147,4 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, tables: bool = F
                 names += ["prefix_ends", "prefix_tokens"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return documents(docs).mapInArrow(run, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    return documents(docs).mapInArrow(lean(run), schema).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import documents, held_out, pick, ready
+from .runtime import documents, held_out, lean, pick, ready
 
 FIT_ROWS = 10_000
 #: Prior observations for each one seen, smallest z of a scoring token, cost of each token, smallest share of toxic tokens that a scoring token has.
-PRIOR, Z, DRIFT, MIN_SHARE = 0.05, 4.0, 0.25, 2e-6
+PRIOR, Z, DRIFT, MIN_SHARE = 0.1, 3.2, 0.25, 2e-6
 #: Expected number of as good segments in clean text, up to which a segment is significant.
 E_MAX = 0.05
 THRESHOLD = 0.3
@@ -150,24 +150,22 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     sample = documents(docs).join(chosen, "doc_id").select("toxic", "text")
 
     def count(batches):
-        counts: dict[str, list[int]] = {}
+        counts: dict[str, int] = {}  # documents of label 0 and 1 and tokens of label 0, packed
         for batch in batches:
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for w, times in collections.Counter(tokens(text.as_py() or "")).items():
-                    n = counts.setdefault(w, [0, 0, 0])
-                    n[y] += 1
-                    n[2] += (1 - y) * times
-            if len(counts) > 200_000:
+                    counts[w] = counts.get(w, 0) + (1 << 24 * y) + ((1 - y) * times << 48)
+            if len(counts) > 40_000:
                 yield rows(counts)
                 counts = {}
         yield rows(counts)
 
     def rows(counts):
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array([n[i] for n in counts.values()], pa.int64()) for i in range(3))], names=["w", "c", "t", "m"])
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array([n >> s & m for n in counts.values()], pa.int64()) for s, m in ((0, 0xFFFFFF), (24, 0xFFFFFF), (48, (1 << 62) - 1)))], names=["w", "c", "t", "m"])
 
     # a token counts once a text and a text once, so neither repetition inside a text nor copies make evidence
     distinct = sample.dropDuplicates(["toxic", "text"])
-    words = distinct.mapInArrow(count, "w string, c bigint, t bigint, m bigint").groupBy("w").agg(*(F.sum(x).alias(x) for x in "ctm")).persist()
+    words = distinct.mapInArrow(lean(count), "w string, c bigint, t bigint, m bigint").groupBy("w").agg(*(F.sum(x).alias(x) for x in "ctm")).persist()
     try:
         total = words.agg(*(F.sum(x).alias(x) for x in "ctm")).first()
         nc, nt = float(total.c or 0), float(total.t or 0)
@@ -186,7 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     if not any(s > DRIFT for s in model.weights.values()):
         return Model()
     gains = np.array([r.odds for r in kept] + [0.0]) - DRIFT
-    shares = np.array([r.m for r in kept] + [total.m - sum(r.m for r in kept)]) / total.m
+    shares = np.array([r.m + 0.5 for r in kept] + [total.m - sum(r.m for r in kept)])  # half a sighting more, for tokens that clean texts lack
+    shares = shares / shares.sum()
     model.decay = decay_of(gains, shares)
     held = spark.sparkContext.broadcast(model)
 
@@ -196,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
             found = [model.scan(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in found], pa.int64()), pa.array([[s for *_, s in x] for _, x in found], pa.list_(pa.float64()))], names=["toxic", "n", "scores"])
 
-    seen = sample.mapInArrow(scan, "toxic int, n bigint, scores array<double>").collect()  # at most 2 * fit_rows documents
+    seen = sample.mapInArrow(lean(scan), "toxic int, n bigint, scores array<double>").collect()  # at most 2 * fit_rows documents
     clean = [(r.n, max(r.scores, default=0.0)) for r in seen if r.toxic == 0 and r.n]
     # with the decay known, the likeliest scale of maxima that follow exp(-scale * n * exp(-decay * score))
     model.scale = min(1.0, max(1e-6, len(clean) / max(1e-9, sum(n * math.exp(-model.decay * s) for n, s in clean))))
@@ -227,7 +226,7 @@ def passages(docs: DataFrame, model: Model) -> DataFrame:
                 spans.append([{"start": s, "end": e, "score": v} for s, e, v in found if model.expected(n, v) <= E_MAX])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))], names=["doc_id", "held_out", "score", "passages"])
 
-    rows = documents(docs).select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, "doc_id bigint, held_out boolean, score double, passages array<struct<start: bigint, end: bigint, score: double>>")
+    rows = documents(docs).select("doc_id", held_out().alias("held_out"), "text").mapInArrow(lean(run), "doc_id bigint, held_out boolean, score double, passages array<struct<start: bigint, end: bigint, score: double>>")
     return rows.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "passages")
 
 
@@ -242,4 +241,4 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
         for batch in batches:
             yield batch.filter(pa.array([model.score(x.as_py()) < threshold for x in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
