@@ -42,6 +42,11 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scratch(spark: SparkSession) -> str:
+    """The folder for tables that a job writes for itself."""
+    return ready(spark).sparkContext._jsc.sc().getCheckpointDir().get()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute df once and cut its lineage with a checkpoint in the shared folder, which survives lost executors."""
     ready(df.sparkSession)
