@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.base import col
 from ..functions.values import epoch_seconds
+from ..session import shipped
 
 
 def series_stats(df: DataFrame, keys: Sequence[str], value: str = "value", order: str = "timestamp") -> DataFrame:
@@ -95,7 +96,7 @@ def fit_lognormal(bounds: np.ndarray, counts: np.ndarray) -> tuple[float, float]
 
 def histogram_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """keys, mu, sigma, observations a step of cumulative bucket counters (keys, le as number, timestamp, value)."""
-    rises = bucket_rises(df, keys)
+    rises = bucket_rises(shipped(df), keys)
     kinds = dict(df.dtypes)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -147,7 +148,7 @@ def service_covariance(df: DataFrame, service: str = "service", series: str = "s
             cov = np.diag(x.var(axis=0))
         return pd.DataFrame({service: [pdf[service].iloc[0]], "series": [names], "covariance": [cov.tolist()]})
 
-    return df.groupBy(service).applyInPandas(one, f"{service} string, series array<string>, covariance array<array<double>>")
+    return shipped(df).groupBy(service).applyInPandas(one, f"{service} string, series array<string>, covariance array<array<double>>")
 
 
 def load_statistics(df: DataFrame, payload: str = "payload") -> DataFrame:

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ship, shipped
 from .profile import compare
 
 PHI_MOST, NOISE_LEAST, STD_LEAST = 0.99, 0.01, 0.01
@@ -56,7 +57,7 @@ def series(profiles: DataFrame, n: int, start: str, step_seconds: float, seed: i
                     x = np.cumsum(np.clip(x, 0, None))
                 yield pd.DataFrame({"timestamp": at + pd.to_timedelta(np.arange(n) * step_seconds, unit="s"), "metric": p.metric, "labels_key": p.labels_key, "value": x})
 
-    wanted = profiles.select("metric", "labels_key", "kind", *[F.col(c).cast("double").alias(c) for c in ("mean", "std", "autocorr", "slope", "min", "max")])
+    wanted = shipped(profiles).select("metric", "labels_key", "kind", *[F.col(c).cast("double").alias(c) for c in ("mean", "std", "autocorr", "slope", "min", "max")])
     return wanted.mapInPandas(run, "timestamp timestamp, metric string, labels_key string, value double")
 
 
@@ -79,7 +80,7 @@ def correlated_series(profiles: DataFrame, covariances: DataFrame, n: int, start
             out.append(pd.DataFrame({"timestamp": at + pd.to_timedelta(np.arange(n) * step_seconds, unit="s"), "service": service, "series": p.series, "value": x}))
         return pd.concat(out)
 
-    return profiles.groupBy("service").cogroup(covariances.groupBy("service")).applyInPandas(one, "timestamp timestamp, service string, series string, value double")
+    return shipped(profiles).groupBy("service").cogroup(covariances.groupBy("service")).applyInPandas(one, "timestamp timestamp, service string, series string, value double")
 
 
 def histograms(profiles: DataFrame, bounds: Sequence[float], n: int, start: str, step_seconds: float, seed: int = 0) -> DataFrame:
@@ -100,7 +101,7 @@ def histograms(profiles: DataFrame, bounds: Sequence[float], n: int, start: str,
                     out += [(ts, f"{p.family}_bucket", "+Inf", float(count)), (ts, f"{p.family}_sum", None, total), (ts, f"{p.family}_count", None, float(count))]
                 yield pd.DataFrame(out, columns=["timestamp", "metric", "le", "value"])
 
-    return profiles.select("family", "mu", "sigma", "per_step").mapInPandas(run, "timestamp timestamp, metric string, le string, value double")
+    return shipped(profiles).select("family", "mu", "sigma", "per_step").mapInPandas(run, "timestamp timestamp, metric string, le string, value double")
 
 
 def spans(templates: DataFrame, start: str, seconds: int, rate: float, seed: int = 0) -> DataFrame:
@@ -139,7 +140,7 @@ def spans(templates: DataFrame, start: str, seconds: int, rate: float, seed: int
             yield pd.DataFrame(out, columns=columns)
 
     schema = "trace_id string, span_id string, parent_span_id string, service_name string, operation_name string, start_time timestamp, duration_us bigint, status_code string"
-    return templates.sparkSession.range(seconds).mapInPandas(run, schema)
+    return ship(templates.sparkSession).range(seconds).mapInPandas(run, schema)
 
 
 def regime_deltas(baseline: DataFrame, regime: DataFrame, keys: Sequence[str], values: Sequence[str] = ("mean", "std")) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import epoch_seconds, is_error_span
+from ..session import shipped
 
 
 def list_services(spans: DataFrame) -> DataFrame:
@@ -211,7 +212,7 @@ def positions(spans: DataFrame) -> DataFrame:
 
 
 def _narrow(spans: DataFrame) -> DataFrame:
-    return distinct_spans(spans).select("trace_id", "span_id", "parent_span_id", "service_name", "operation_name", (epoch_seconds("start_time") * 1e6).cast("bigint").alias("start_us"), F.col("duration_us").cast("bigint").alias("duration_us"), is_error_span("status_code", "tags").alias("bad"))
+    return distinct_spans(shipped(spans)).select("trace_id", "span_id", "parent_span_id", "service_name", "operation_name", (epoch_seconds("start_time") * 1e6).cast("bigint").alias("start_us"), F.col("duration_us").cast("bigint").alias("duration_us"), is_error_span("status_code", "tags").alias("bad"))
 
 
 def templates(spans: DataFrame) -> DataFrame:

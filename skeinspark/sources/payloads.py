@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import dd_labels, dd_metric_name
 from ..functions.names import sanitize_name
-
-NO_LABELS = F.lit(None)
+from ..session import shipped
 
 
 def _at(seconds: Column) -> Column:
@@ -115,7 +114,7 @@ def inflate(df: DataFrame, body: str = "body", encoding: str = "encoding") -> Da
 
         return pd.Series([one(b, k) for b, k in zip(bodies, kinds)])
 
-    return df.withColumn("payload", read(body, encoding))
+    return shipped(df).withColumn("payload", read(body, encoding))
 
 
 # ---- protobuf wire format -------------------------------------------------------------------------------------------
@@ -186,7 +185,7 @@ def dd_v2_protobuf(df: DataFrame, body: str = "body") -> DataFrame:
 
         return bodies.map(one)
 
-    return dd_v2(df.withColumn("payload", decode(body)))
+    return dd_v2(shipped(df).withColumn("payload", decode(body)))
 
 
 # ---- OTLP -----------------------------------------------------------------------------------------------------------
@@ -290,5 +289,5 @@ def fetch_chunks(pieces: DataFrame, fetch: Callable[[pd.Timestamp, pd.Timestamp]
                             raise
                 yield pd.DataFrame({"chunk_start": [a] * len(found), "payload": found})
 
-    spread = pieces.repartition(max(1, pieces.count()), "chunk_start")
+    spread = shipped(pieces).repartition(max(1, pieces.count()), "chunk_start")
     return spread.mapInPandas(run, "chunk_start timestamp, payload string")

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 SAMPLES = "timestamp timestamp, metric string, labels map<string,string>, value double"
 
 
@@ -20,10 +22,10 @@ def parse_label_repr(text: Column | str) -> Column:
     c = F.col(text) if isinstance(text, str) else text
     simple = F.from_json(F.translate(c, "'", '"'), "map<string,string>")
     hard = F.rlike(c, F.lit("\"|\\\\"))
-    return F.coalesce(F.when(hard, _literal(c)).otherwise(simple), F.create_map().cast("map<string,string>"))
+    ship(SparkSession.active())
+    return F.coalesce(F.when(hard, F.pandas_udf(_literal, "map<string,string>")(c)).otherwise(simple), F.create_map().cast("map<string,string>"))
 
 
-@F.pandas_udf("map<string,string>")
 def _literal(texts: pd.Series) -> pd.Series:
     def one(t):
         try:

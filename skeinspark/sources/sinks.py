@@ -14,6 +14,7 @@ from ..functions.values import epoch_seconds
 from ..operators.frame import melt
 from ..operators.logs import SEVERITY_NUMBERS
 from ..operators.traces import csv_projection
+from ..session import shipped
 
 INDEX = ("timestamp", "entity_key")
 
@@ -87,7 +88,7 @@ def signed_headers(secret: str, method: str, path: str, body: str, when: str) ->
 
 def stream_frames(df: DataFrame, send: Callable[[str], None], chunk: int = 1000, kinds: dict[str, str] | None = None) -> None:
     """Send every row in frames of at most ``chunk`` rows, from the executors."""
-    columns = df.columns
+    columns = shipped(df).columns
     kinds = kinds or {c: "C" if t in ("double", "float", "int", "bigint") else "S" for c, t in df.dtypes}
 
     def run(rows):

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.labels import entity_key
 from ..operators.aggregates import long_features
+from ..session import shipped
 from ..plans.denormalize import Registry, denormalize, named_features, rewrite_labels
 
 
@@ -84,7 +85,7 @@ def stateful_deltas(stream: DataFrame) -> DataFrame:
             state.update((last,))
 
     out = "entity_key string, feature string, timestamp timestamp, value double, delta double"
-    return stream.select("entity_key", "feature", "timestamp", "value").groupBy("entity_key", "feature").applyInPandasWithState(step, out, "last double", "append", GroupStateTimeout.NoTimeout)
+    return shipped(stream).select("entity_key", "feature", "timestamp", "value").groupBy("entity_key", "feature").applyInPandasWithState(step, out, "last double", "append", GroupStateTimeout.NoTimeout)
 
 
 def buffered(stream: DataFrame, retention: str = "24 hours") -> DataFrame:
