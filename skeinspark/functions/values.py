@@ -77,7 +77,7 @@ def budget_consumption(error_rate, budget) -> Column:
 def change(new, old) -> Column:
     """struct(delta, pct): relative to abs(old); from 0 it is infinite, or null if both are 0."""
     n, o = col(new), col(old)
-    pct = F.when(o != 0, (n - o) / F.abs(o) * 100).when(n != 0, F.lit(float("inf")))
+    pct = F.when(o != 0, (n - o) / F.abs(o) * 100).when((o == 0) & (n != 0), F.lit(float("inf")))
     return F.struct((n - o).alias("delta"), pct.alias("pct"))
 
 

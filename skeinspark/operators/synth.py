@@ -137,7 +137,7 @@ def spans(templates: DataFrame, start: str, seconds: int, rate: float, seed: int
                         ends[p["path"]] = (begun_at, took)
                         of = hashlib.sha256(f"{trace}/{parent}".encode()).hexdigest()[:16] if parent else None
                         out.append((trace, span, of, p["service_name"], p["operation_name"], begun_at, int(took), "ERROR" if rng.random() < p["error_rate"] else "OK"))
-            yield pd.DataFrame(out, columns=columns)
+            yield pd.DataFrame(out, columns=columns).astype({"start_time": "datetime64[us]", "duration_us": "int64"})
 
     schema = "trace_id string, span_id string, parent_span_id string, service_name string, operation_name string, start_time timestamp, duration_us bigint, status_code string"
     return ship(templates.sparkSession).range(seconds).mapInPandas(run, schema)
