@@ -7,11 +7,12 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.values import epoch_seconds, is_error_span
 from ..session import shipped
@@ -126,7 +127,7 @@ def sibling_relation(spans: DataFrame, least: float = 0.3) -> DataFrame:
     return found.withColumn("relation", F.when(F.col("overlap") > least, "parallel").otherwise("sequential"))
 
 
-# ---- trees: a trace is small and its shape is recursive, so a trace is one group of a Pandas function ----------------
+# ---- trees: a trace is small and its shape is recursive, so a trace is one value of an Arrow function -----------------
 
 
 def trees(rows: Iterable[dict]) -> list[dict]:
@@ -182,37 +183,48 @@ def repeating_group(parts: Sequence[str]) -> tuple[int, int]:
     return 0, 0
 
 
+def _per_trace(spans: DataFrame, one: Callable[[list[dict]], list[tuple]], schema: str) -> DataFrame:
+    """Rows that a function of its roots makes of each trace; traces are gathered by Spark and come to Python many at a time."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    span = F.struct("trace_id", "span_id", "parent_span_id", "service_name", "operation_name", "start_us", "duration_us", "bad")
+    narrow = distinct_spans(shipped(spans)).select("trace_id", "span_id", "parent_span_id", "service_name", "operation_name", (epoch_seconds("start_time") * 1e6).cast("bigint").alias("start_us"), F.col("duration_us").cast("bigint").alias("duration_us"), is_error_span("status_code", "tags").alias("bad"))
+
+    def run(batches):
+        for batch in batches:
+            rows = [r for t in batch.column(0).to_pylist() for r in one(trees(t))]
+            columns = list(zip(*rows)) if rows else [[] for _ in names]
+            yield pa.RecordBatch.from_pydict({n: list(c) for n, c in zip(names, columns)}, schema=arrow)
+
+    arrow = to_arrow_schema(spans.sparkSession.createDataFrame([], schema).schema)
+    return narrow.groupBy("trace_id").agg(F.collect_list(span).alias("spans")).select("spans").mapInArrow(run, schema)
+
+
 def signatures(spans: DataFrame) -> DataFrame:
-    """trace_id, signature and error_positions (path:service:operation, sorted) of the first root of each trace."""
+    """trace_id, signature, error_positions (path:service:operation, sorted) and spans of the first root of each trace."""
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        roots = trees(pdf.to_dict("records"))
+    def one(roots: list[dict]) -> list[tuple]:
         if not roots:
-            return pd.DataFrame({"trace_id": [], "signature": [], "error_positions": [], "spans": []})
-        bad = sorted(f"{path}:{s['service_name']}:{s['operation_name']}" for path, s in walk(roots[0]) if s["bad"])
-        return pd.DataFrame({"trace_id": [pdf["trace_id"].iloc[0]], "signature": [signature(roots[0])], "error_positions": [bad], "spans": [sum(1 for _ in walk(roots[0]))]})
+            return []
+        nodes = list(walk(roots[0]))
+        bad = sorted(f"{path}:{s['service_name']}:{s['operation_name']}" for path, s in nodes if s["bad"])
+        return [(roots[0]["trace_id"], signature(roots[0]), bad, len(nodes))]
 
-    return _narrow(spans).groupBy("trace_id").applyInPandas(one, "trace_id string, signature string, error_positions array<string>, spans bigint")
+    return _per_trace(spans, one, "trace_id string, signature string, error_positions array<string>, spans bigint")
 
 
 def positions(spans: DataFrame) -> DataFrame:
     """Path-coded spans of first roots: trace_id, signature, path, parent_path, service, operation, duration_us, bad, children, group_size, group_times."""
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(roots: list[dict]) -> list[tuple]:
         out = []
-        for root in trees(pdf.to_dict("records"))[:1]:
+        for root in roots[:1]:
             name = signature(root)
             for path, s in walk(root):
                 k, times = repeating_group([json.dumps(outline(c)) for c in s["children"]])
                 out.append((s["trace_id"], name, path, path.rpartition(".")[0], s["service_name"], s["operation_name"], s["duration_us"], bool(s["bad"]), len(s["children"]), k, times))
-        return pd.DataFrame(out, columns=["trace_id", "signature", "path", "parent_path", "service_name", "operation_name", "duration_us", "bad", "children", "group_size", "group_times"])
-
-    schema = "trace_id string, signature string, path string, parent_path string, service_name string, operation_name string, duration_us bigint, bad boolean, children int, group_size int, group_times int"
-    return _narrow(spans).groupBy("trace_id").applyInPandas(one, schema)
-
+        return out
 
-def _narrow(spans: DataFrame) -> DataFrame:
-    return distinct_spans(shipped(spans)).select("trace_id", "span_id", "parent_span_id", "service_name", "operation_name", (epoch_seconds("start_time") * 1e6).cast("bigint").alias("start_us"), F.col("duration_us").cast("bigint").alias("duration_us"), is_error_span("status_code", "tags").alias("bad"))
+    return _per_trace(spans, one, "trace_id string, signature string, path string, parent_path string, service_name string, operation_name string, duration_us bigint, bad boolean, children int, group_size int, group_times int")
 
 
 def templates(spans: DataFrame) -> DataFrame:

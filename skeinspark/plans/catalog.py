@@ -559,10 +559,9 @@ def metric_names(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(enumerate(METRICS)), "place int, metric string")
 
 
-@query("SELECT unnest(['http_server_duration_bucket', 'http_server_duration_count', 'http_server_requests_total', 'go_memory_used_bytes', 'app_cart_latency_seconds_sum', 'app_cart_calls_total', 'kafka_consumer_records_lag', 'plain', 'db_client_operation_duration_bucket']) AS metric")
+@query("SELECT unnest(['http_server_duration_bucket', 'http_server_duration_count', 'go_memory_used_bytes', 'app_cart_latency_seconds_sum', 'kafka_consumer_records_lag', 'plain', 'db_client_operation_duration_bucket']) AS metric")
 def F11_salient_metrics(spark, sf_dir):
-    # families lose _total before they are scored, so calls and requests compare by what is left of their names
-    return P.salient_metrics(metric_names(spark), prefer=("duration", "latency", "requests", "calls"), complement=False, one_per_group=False, drop=P.DROP).where(~F.col("metric").isin("app_cart_items", "kafka_consumer_other")).select("metric")
+    return P.salient_metrics(metric_names(spark)).select("metric")
 
 
 @query()
