@@ -1,7 +1,7 @@
 """Benchmark passages in documents, by SimHash over item-sized windows.
 
 A window has as many words as the item it is compared with.  Windows that could be similar enough at all -
-enough of their shingles occur somewhere in the benchmark - get a 64-bit SimHash of their weighted shingles.
+enough of their shingles occur in items of that size - get a 64-bit SimHash of their weighted shingles.
 A multi-index over four 16-bit blocks finds every item fingerprint within RADIUS bits: two fingerprints
 that near differ by at most RADIUS // 4 bits in some block, and all block values that near are looked up.
 Candidates are verified by exact weighted Jaccard similarity of the shingles, weights being counts.
@@ -91,12 +91,14 @@ class Benchmark:
         self.similarity = similarity
         column = pa.array([t for _, t in items], pa.string())
         self.groups: dict[int, tuple[int, list[int], list[np.ndarray], Index]] = {}
+        self.own: dict[int, np.ndarray] = {}
         by_length: dict[int, list[tuple[int, np.ndarray]]] = {}
         for (item, _), (words, _, _) in zip(items, document_words(column, lower=True)):
             if len(words):
                 by_length.setdefault(len(words), []).append((item, shingles(words, min(SHINGLE, len(words)))))
         for length, found in sorted(by_length.items()):
             prints = np.concatenate([simhashes(s, np.zeros(1, np.int64), len(s)) for _, s in found])
+            self.own[length] = np.unique(np.concatenate([s for _, s in found]))
             self.groups[length] = (min(SHINGLE, length), [i for i, _ in found], [s for _, s in found], Index(prints, radius))
         self.known = {k: np.unique(np.concatenate([s for kk, _, ss, _ in self.groups.values() if kk == k for s in ss])) for k in {g[0] for g in self.groups.values()}}
         self.filter = {}
@@ -124,7 +126,11 @@ class Benchmark:
             need = math.ceil(self.similarity * (length - k + 1) - 1e-9)
             if len(hits) < need:
                 continue
-            # starts of windows that hold enough shingles of the benchmark: each begins at or before its first hit
+            own = self.own[length]
+            hits = hits[own[np.minimum(np.searchsorted(own, found[hits]), len(own) - 1)] == found[hits]]
+            if len(hits) < need:
+                continue
+            # starts of windows that hold enough shingles of items of this length: each begins at or before its first hit
             first = hits[: len(hits) - need + 1]
             near = hits[need - 1 :] - first < width
             if not near.any():
