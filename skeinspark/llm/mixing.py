@@ -12,11 +12,13 @@ Copies: a rate's whole part is taken; the fraction is rounded systematically alo
 of bounded size, so a source's error is about one document; then documents of falling size
 change by one copy if that brings the source nearer.
 
-All sums are of decimals, which do not depend on the order of addition, so reruns agree.
+All sums are of integers, which do not depend on the order of addition, so reruns agree.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,10 +28,12 @@ WEIGHTS = (5, 2, 1)
 CAP = 3
 #: Documents of a rounding bucket, rounds of Newton steps, size classes' candidates for the last correction.
 BUCKET, ROUNDS, CHOICES = 4096, 60, 8
+MILLI, MICRO = 1000, 1_000_000
 
 
-def exact(x: Column) -> Column:
-    return x.cast("decimal(38,8)")
+def exact(x: Column, unit: int) -> Column:
+    """x in whole units of 1 / unit: sums of integers are the same in any order."""
+    return F.round(x * unit).cast("bigint")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -61,8 +65,8 @@ def multipliers(histogram: DataFrame, goals: DataFrame, cap: int = CAP) -> DataF
         rate = F.least(F.lit(float(cap)), F.exp(F.least(F.col("m") * x, F.lit(50.0))))
         rows = histogram.join(s, F.col("source").eqNullSafe(F.col("of"))).where("size > 0")
         sums = rows.groupBy("source").agg(
-            F.sum(exact(rate * F.col("size") * F.col("n"))).cast("double").alias("words"),
-            F.sum(F.when(F.col("m") * x < F.log(F.lit(float(cap))), exact(rate * F.col("size") * F.col("n") * x))).cast("double").alias("slope"),
+            (F.sum(exact(rate * F.col("size") * F.col("n"), MILLI)) / MILLI).alias("words"),
+            F.sum(F.when(F.col("m") * x < math.log(cap), exact(rate * F.col("size") * F.col("n") * x, 1))).cast("double").alias("slope"),
         ).withColumnRenamed("source", "of")
         joined = state.join(sums, F.col("source").eqNullSafe(F.col("of")), "left")
         gap = F.col("words") - F.col("target")
@@ -98,12 +102,12 @@ def mix(docs: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIG
     rated = rows.join(per_source, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", F.round(rate, 8))
     # systematic rounding: the running sum of fractional words passes a mark of the document's own size now and then
     bucket = F.pmod(F.xxhash64("place"), F.ceil(F.col("n_docs") / BUCKET))
-    part = rated.withColumn("bucket", bucket).withColumn("fraction", exact(F.col("rate") - F.floor("rate")))
+    part = rated.withColumn("bucket", bucket).withColumn("fraction", exact(F.col("rate") - F.floor("rate"), MICRO))
     klass = F.when(F.col("size") == 0, -1).otherwise(F.floor(F.log2(F.col("size"))))
-    running = F.sum("fraction").over(Window.partitionBy("source", "bucket").orderBy(klass, "size", "place", "doc_id").rowsBetween(Window.unboundedPreceding, 0)).cast("decimal(38,8)")
-    offset = F.round(F.pmod(F.xxhash64("source", "bucket"), F.lit(1 << 20)) / (1 << 20), 6).cast("decimal(38,8)")
-    part = part.withColumn("upto", (running + offset).cast("decimal(38,8)"))
-    up = F.floor("upto") > F.floor((F.col("upto") - F.col("fraction")).cast("decimal(38,8)"))
+    running = F.sum("fraction").over(Window.partitionBy("source", "bucket").orderBy(klass, "size", "place", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    offset = F.pmod(F.xxhash64("source", "bucket"), F.lit(MICRO))
+    part = part.withColumn("upto", running + offset)
+    up = F.floor(F.col("upto") / MICRO) > F.floor((F.col("upto") - F.col("fraction")) / MICRO)
     rounded = cut(part.select("doc_id", "source", "mark", "place", "size", "source_size", "target", "rate", (F.floor("rate") + up.cast("int")).cast("bigint").alias("copies")))
 
     # last correction: a few documents of each size class, those with the smallest hash, may change by one copy
