@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.base import col, present
+from ..session import shipped
 
 # ---- columns -------------------------------------------------------------------------------------------------------
 
@@ -205,3 +206,29 @@ def melt(df: DataFrame, ids: Sequence[str], names: str = "feature", value: str =
 
 def fill_null(df: DataFrame, value: float, *names: str) -> DataFrame:
     return df.withColumns({c: F.coalesce(present(c), F.lit(value)) for c in names})
+
+
+# ---- functions of the caller ---------------------------------------------------------------------------------------
+
+
+def apply_series(fn: Callable, kind: str) -> Callable[..., Column]:
+    """A vectorised function of Series as a Column function; prefer built-in expressions where there are any."""
+    return F.pandas_udf(fn, kind)
+
+
+def apply_rows(df: DataFrame, fn: Callable[[dict], object], name: str, kind: str) -> DataFrame:
+    """df with a column that a function makes of each row as a dict; its type is declared."""
+    return shipped(df).withColumn(name, F.udf(lambda r: fn(r.asDict()), kind)(F.struct(*df.columns)))
+
+
+def apply_groups(df: DataFrame, keys: Sequence[str], fn: Callable, schema: str) -> DataFrame:
+    """What a function makes of each group as a pandas frame; a group is in one task's memory."""
+    return shipped(df).groupBy(*keys).applyInPandas(fn, schema)
+
+
+def wide_from_features(index: DataFrame, features: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """index with a column for each feature table (keys, value): left joins, missing values null."""
+    out = index
+    for name, rows in features.items():
+        out = out.join(rows.select(*keys, F.col("value").alias(name)), list(keys), "left")
+    return out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import OTHER, TIERS, action, bucket_type, entity_key, is_entity_label, keeps, label_kind, service_name, tier
 from ..functions.names import detected_type, metric_family, metric_type
+from .aggregates import counter_rates
 
 TOP_N = 20
 
@@ -63,6 +64,12 @@ def cardinality(df: DataFrame, top: int = TOP_N, limits: dict[int, int] = TIERS)
     return found.select("family", "label", "cardinality", "tier", "action", F.when(F.col("action") == "top_n", F.transform("best", lambda b: b["value"])).alias("top_values"))
 
 
+def rates_by_label(df: DataFrame, label: str, top: int = TOP_N) -> DataFrame:
+    """value, rate: a label's values by the summed rate of the counters that have them, the fastest first (of equals the first by name)."""
+    rates = counter_rates(df.withColumn("value_of", F.col("labels")[label]).where("value_of IS NOT NULL"), ["metric", "labels_key", "value_of"])
+    return rates.groupBy(F.col("value_of").alias("value")).agg(F.sum("rate_per_sec").alias("rate")).orderBy(F.desc("rate"), "value").limit(top)
+
+
 def schema(families: DataFrame, found: DataFrame) -> DataFrame:
     """family, type, label, tier, cardinality, action, bucket_type, top_values, category: what happens to each label of each family."""
     kind = label_kind("label")

@@ -45,6 +45,22 @@ def counter_profile(df: DataFrame, keys: Sequence[str], value: str = "value", or
     return stats.join(resets, list(keys)).withColumn("resets_per_hour", F.when(F.col("hours") > 0, F.col("resets") / F.col("hours")).otherwise(F.lit(0.0))).drop("hours")
 
 
+def regime_profiles(df: DataFrame, keys: Sequence[str] = ("regime", "metric", "labels_key")) -> DataFrame:
+    """series_stats of every series of every regime in one job: counters by their rises, all others by their values.
+
+    A _count or _sum of a family without buckets in that regime is a gauge; with buckets it belongs to the histogram and is left out.
+    """
+    family, part = F.regexp_replace("metric", "_(bucket|count|sum)$", ""), F.regexp_extract("metric", "_(bucket|count|sum)$", 1)
+    rows = df.withColumn("__family", family).withColumn("__part", part)
+    known = rows.where("__part = 'bucket'").select(F.col("regime").alias("of_regime"), F.col("__family").alias("of_family")).distinct()
+    rows = rows.join(known, (F.col("regime") == F.col("of_regime")) & (F.col("__family") == F.col("of_family")), "left").where("of_family IS NULL")
+    is_counter = F.col("metric").endswith("_total")
+    step = F.col("value") - F.lag("value").over(Window.partitionBy(*keys).orderBy("timestamp"))
+    rise = F.when(step.isNotNull(), F.greatest(F.when(step < 0, F.col("value")).otherwise(step), F.lit(0.0)))
+    rows = rows.withColumn("__value", F.when(is_counter, rise).otherwise(F.col("value"))).where("__value IS NOT NULL")
+    return series_stats(rows, keys, "__value").withColumn("kind", F.when(F.col("metric").endswith("_total"), "counter").otherwise("gauge"))
+
+
 def zscore_anomaly(value: Column | str, keys: Sequence[str], threshold: float = 3.0) -> Column:
     """Whether the value is more than so many deviations from its group's mean; false for one value or no spread."""
     over = Window.partitionBy(*keys)

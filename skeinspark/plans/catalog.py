@@ -1070,6 +1070,128 @@ def R2_melt(spark, sf_dir):
     return X.melt(days(spark, sf_dir), ["timestamp", "entity_key"]).select(us("timestamp"), "entity_key", "feature", "value")
 
 
+# ---- more of the inventory -----------------------------------------------------------------------------------------
+
+
+@query("SELECT DISTINCT event_type AS service FROM events")
+def A21_services(spark, sf_dir):
+    return Q.services(raw.event_samples(spark, sf_dir))
+
+
+@query(f"""WITH {COUNTERS}, k AS (SELECT user_id, event_id, us, value, user_id % 7 AS g FROM counters), a AS (SELECT user_id, g, arg_min(value, (us, value)) AS f, arg_max(value, (us, value)) AS l, (max(us) - min(us)) / 1000000 AS t, count(*) AS n FROM k GROUP BY 1, 2)
+SELECT CAST(g AS VARCHAR) AS value, round(sum(CASE WHEN n < 2 THEN 0 ELSE (CASE WHEN l < f THEN l ELSE l - f END) / CASE WHEN t > 0 THEN t ELSE 60 END END), 9) AS rate FROM a GROUP BY 1""")
+def A23_top_values_by_rate(spark, sf_dir):
+    c = counters(spark, sf_dir).withColumn("metric", F.lit("c_total")).withColumn("labels_key", F.col("user_id").cast("string"))
+    c = c.withColumn("labels", F.create_map(F.lit("g"), (F.col("user_id") % 7).cast("string")))
+    return Q.rates_by_label(c, "g").select("value", F.round("rate", 9).alias("rate"))
+
+
+@query("SELECT unnest(['instance', 'service_name', 'status_code']) AS label, 'counter' AS type")
+def A24_dd_profile(spark, sf_dir):
+    return Q.dd_profile(raw.event_samples(spark, sf_dir).withColumn("dd_type", F.lit("count"))).select("label", "type")
+
+
+@query("SELECT 'r' || n_regionkey AS label, 1::BIGINT AS families FROM nation GROUP BY 1 UNION ALL SELECT 'all', 5")
+def A40_common_labels(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(F.concat(F.lit("f"), "n_regionkey").alias("family"), F.explode(F.array(F.lit("all"), F.concat(F.lit("r"), "n_regionkey"))).alias("label")).distinct()
+    return Q.common_labels(n, 0.2)
+
+
+@query("SELECT 'f' || n_regionkey AS family, 'r' || n_regionkey AS label FROM nation GROUP BY ALL")
+def A40_unique_labels(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(F.concat(F.lit("f"), "n_regionkey").alias("family"), F.explode(F.array(F.lit("all"), F.concat(F.lit("r"), "n_regionkey"))).alias("label")).distinct()
+    return Q.unique_labels(n)
+
+
+@query("SELECT event_type AS name, round(value, 6) AS rps, event_type = 'Aggregated' AS is_total FROM events")
+def A42_load_statistics(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    stats = F.array(F.struct(F.col("event_type").alias("name"), F.lit("GET").alias("method"), F.col("event_id").alias("num_requests"), F.lit(0).alias("num_failures"), F.lit(1.0).alias("avg_response_time"), F.col("value").alias("current_rps")))
+    return T.load_statistics(e.select(F.to_json(F.struct(stats.alias("stats"))).alias("payload"))).select("name", r6("current_rps").alias("rps"), "is_total")
+
+
+@query("SELECT 'order' AS operation, 'created' AS event, count(*) AS n, 0.5::DOUBLE AS mean_offset FROM orders")
+def A37_span_events(spark, sf_dir):
+    s = spans(spark, sf_dir).where("parent_span_id IS NULL")
+    at = F.timestamp_micros(F.unix_micros("start_time") + 500000)
+    s = s.withColumn("logs", F.array(F.struct(at.alias("timestamp"), F.create_map(F.lit("event"), F.lit("created")).alias("fields"))))
+    return J.span_events(s).select(F.col("operation_name").alias("operation"), "event", "n", r6("mean_offset").alias("mean_offset"))
+
+
+@query("SELECT * FROM (VALUES ('event_value', 'gauge')) t(family, type)")
+def F9_F10_families(spark, sf_dir):
+    both = raw.event_samples(spark, sf_dir).select("metric", "labels").unionByName(buckets(spark, sf_dir).select("metric", "labels"))
+    found = Q.discover_families(both)
+    return P.of_type(P.families(found, ["^event", "^req"], ["^zz"]), "gauge").select("family", "type")
+
+
+@query("SELECT 'user' AS label, count(DISTINCT user_id) AS cardinality FROM events")
+def F19_min_tier(spark, sf_dir):
+    e = raw.event_samples(spark, sf_dir)
+    e = e.withColumn("labels", F.map_concat("labels", F.create_map(F.lit("user"), F.col("user_id").cast("string"))))
+    return P.min_tier(Q.cardinality(e), 3).select("label", "cardinality")
+
+
+@query("SELECT epoch_us(ts) // 1000000 * 1000000 AS us, 'm_x' AS metric, event_type AS service, round(value, 6) AS value, event_id FROM events WHERE event_id % 4 > 0")
+def S14_dd_query(spark, sf_dir):
+    e = raw.event_samples(spark, sf_dir)
+    point = F.array(F.floor(V.epoch_seconds("timestamp")).cast("double") * 1000, F.when(F.col("event_id") % 4 > 0, F.col("value")))
+    tags = F.array(F.concat(F.lit("service:"), F.col("labels")["service_name"]), F.concat(F.lit("event:"), F.col("event_id").cast("string")))
+    series = F.struct(F.lit("m.x").alias("metric"), tags.alias("tag_set"), F.array(point).alias("pointlist"))
+    out = payloads.dd_query(e.select(F.to_json(F.struct(F.array(series).alias("series"))).alias("payload")))
+    return out.select(us("timestamp"), "metric", F.col("labels")["service_name"].alias("service"), r6("value").alias("value"), F.col("labels")["event"].cast("bigint").alias("event_id"))
+
+
+@query("SELECT trace_id, span_id, parent, service AS service_name, us, dur, 'v' AS tag FROM (SELECT CAST(o_orderkey AS VARCHAR) AS trace_id, 's' AS span_id, 'p' AS parent, o_orderpriority AS service, epoch_us(o_orderdate) AS us, 7::BIGINT AS dur FROM orders)")
+def S17_jaeger_payload(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    refs = F.array(F.struct(F.lit("FOLLOWS_FROM").alias("refType"), F.lit("q").alias("spanID")), F.struct(F.lit("CHILD_OF").alias("refType"), F.lit("p").alias("spanID")))
+    span = F.struct(key.alias("traceID"), F.lit("s").alias("spanID"), F.lit("op").alias("operationName"), F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("startTime"), F.lit(7).alias("duration"), F.lit("p1").alias("processID"), refs.alias("references"), F.array(F.struct(F.lit("k").alias("key"), F.lit("v").alias("value"))).alias("tags"))
+    trace = F.struct(key.alias("traceID"), F.create_map(F.lit("p1"), F.struct(F.col("o_orderpriority").alias("serviceName"))).alias("processes"), F.array(span).alias("spans"))
+    out = payloads.jaeger_spans(o.select(F.to_json(F.struct(F.array(trace).alias("data"))).alias("payload")))
+    return out.select("trace_id", "span_id", F.col("parent_span_id").alias("parent"), "service_name", us("start_time"), F.col("duration_us").alias("dur"), F.col("tags")["k"].alias("tag"))
+
+
+@query(f"""WITH {COUNTERS}, r AS (SELECT user_id % 2 AS regime, user_id, us, event_id, value, value - lag(value) OVER w AS step FROM counters WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id))
+SELECT 'r' || regime AS regime, CAST(user_id AS VARCHAR) AS labels_key, 'counter' AS kind, count(*) AS n, round(avg(greatest(CASE WHEN step < 0 THEN value ELSE step END, 0)), 6) AS mean FROM r WHERE step IS NOT NULL GROUP BY 1, 2""")
+def N1_regime_profiles(spark, sf_dir):
+    c = counters(spark, sf_dir)
+    c = c.withColumn("timestamp", F.timestamp_micros(F.unix_micros("timestamp") + F.row_number().over(Window.partitionBy("user_id").orderBy("timestamp", "event_id"))))
+    c = c.select(F.concat(F.lit("r"), (F.col("user_id") % 2).cast("string")).alias("regime"), F.lit("c_total").alias("metric"), F.col("user_id").cast("string").alias("labels_key"), "timestamp", "value")
+    return T.regime_profiles(c).select("regime", "labels_key", "kind", "n", r6("mean").alias("mean"))
+
+
+@query("SELECT n_nationkey AS k, length(n_name) AS size, CASE WHEN n_regionkey = 1 THEN 1.0::DOUBLE END AS one FROM nation")
+def P14_wide_from_features(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    k = n.select(F.col("n_nationkey").alias("k"))
+    size = n.select(F.col("n_nationkey").alias("k"), F.length("n_name").cast("bigint").alias("value"))
+    one = n.where("n_regionkey = 1").select(F.col("n_nationkey").alias("k"), F.lit(1.0).alias("value"))
+    return X.wide_from_features(k, {"size": size, "one": one}, ["k"])
+
+
+@query("SELECT n_nationkey AS k, upper(n_name) || n_regionkey AS made FROM nation")
+def V2_row_function(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), "n_name", "n_regionkey")
+    return X.apply_rows(n, lambda r: f"{r['n_name'].upper()}{r['n_regionkey']}", "made", "string").select("k", "made")
+
+
+@query("SELECT n_regionkey AS r, count(*) AS n FROM nation GROUP BY 1")
+def V3_W14_group_function(spark, sf_dir):
+    import pandas as pd
+
+    n = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("r"), "n_nationkey")
+    return X.apply_groups(n, ["r"], lambda g: pd.DataFrame({"r": [g["r"].iloc[0]], "n": [len(g)]}), "r int, n bigint")
+
+
+@query("SELECT epoch_us(ts) AS us, epoch_us(lead(ts) OVER (ORDER BY ts)) AS until, CASE WHEN event_type = 'error' THEN 'error' ELSE '' END AS regimes FROM (SELECT DISTINCT ON (ts) ts, event_type FROM events ORDER BY ts, event_id)")
+def Z5_event_intervals(spark, sf_dir):
+    e = X.distinct_first(table(spark, sf_dir, "events"), ["ts"], "event_id")
+    out = Y.event_intervals(e.select("ts", F.col("event_type").alias("action"), (F.col("event_type") == "error").alias("anomaly")))
+    return out.select(us("start_time"), F.unix_micros(F.col("end_time").cast("timestamp")).alias("until"), F.array_join("regimes", ",").alias("regimes"))
+
+
 # ---- synthesis, scenarios, streams ---------------------------------------------------------------------------------
 
 
