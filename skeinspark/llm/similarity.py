@@ -11,8 +11,9 @@ from common; it decides only the order and the cost, never the result.
 
 Candidates.  A list never becomes all its pairs: each task, then each bucket, ties the members of a list to
 the member with the smallest class number.  Stars are verified and components built; only members of lists
-that still span several components are paired, across components.  Verification reads the
-candidates' texts again and intersects whole sets.
+that still span several components are compared, across components and in blocks, so no list is in one task.  A sketch of parities, a lower
+bound of the difference, rules most candidates out; the texts of the others are read again and whole sets
+intersected.
 """
 
 from __future__ import annotations
@@ -33,7 +34,11 @@ from .textnp import U, document_words, mix, shingles, signed, unsigned, whole
 #: Counters of the frequency table, in SLICES of a row each.
 COUNTERS, SLICES = 1 << 22, 64
 #: Signatures that a task gathers before it ties them, and that a bucket gets.
-FLUSH, BUCKET = 1_500_000, 750_000
+FLUSH, BUCKET = 600_000, 300_000
+#: Members of a block of a list that spans components, and such members that a task gets at a time.
+BLOCK, MEET = 1024, 50_000
+#: Least bits of the parity sketch that rules candidates out before whole sets are read.
+PARITIES = 1024
 
 
 def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
@@ -49,6 +54,16 @@ def class_of(found: np.ndarray) -> int:
         return int(mix(np.array([mix(found ^ U(0x5851F42D4C957F2D)).sum(dtype=U) + U(len(found))], dtype=U)).view(np.int64)[0]) if len(found) else 0
 
 
+def parities(found: np.ndarray, least: int = 0) -> np.ndarray:
+    """For each part of the shingles, whether the set has an odd number of them, 64 parts a long: about 1.5 to 3 parts a shingle, at least PARITIES.
+
+    Sets that differ in n shingles differ in at most n parities. Halves laid over each other (exclusive or) give the parities of half as many parts.
+    """
+    parts = least or max(PARITIES, 1 << int(1.5 * len(found)).bit_length())
+    odd = np.bincount(((found >> U(20)) & U(parts - 1)).astype(np.int64), minlength=parts) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 @dataclass
 class Plan:
     percent: int
@@ -139,10 +154,12 @@ class Join:
             counts = np.zeros(COUNTERS, dtype=np.uint32)
             waiting, held = [], 0
             for batch in batches:
-                n, cls = [], []
+                n, cls, bits, brief = [], [], [], []
                 for words, _, _ in document_words(batch.column(1), lower=True):
                     found = shingle_set(words, k)
                     n.append(len(found))
+                    bits.append(parities(found))
+                    brief.append(parities(found, PARITIES))
                     cls.append(class_of(found))
                     waiting.append((found & U(COUNTERS - 1)).astype(np.int64))
                     held += len(found)
@@ -150,12 +167,12 @@ class Join:
                         counts += np.bincount(np.concatenate(waiting), minlength=COUNTERS).astype(np.uint32)
                         waiting, held = [], 0
                 size = batch.num_rows
-                yield pa.RecordBatch.from_arrays([pa.array([-1] * size, pa.int32()), batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.nulls(size, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array([-1] * size, pa.int32()), batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(bits, pa.list_(pa.int64())), pa.array(brief, pa.list_(pa.int64())), pa.nulls(size, pa.binary())], names=names)
             if waiting:
                 counts += np.bincount(np.concatenate(waiting), minlength=COUNTERS).astype(np.uint32)
             for i, part in enumerate(counts.reshape(SLICES, -1)):
                 if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([None], pa.int64()) for _ in range(4)), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([None], pa.int64()) for _ in range(4)), *(pa.array([None], pa.list_(pa.int64())) for _ in range(2)), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=names)
 
         def add(batches):
             sums: dict[int, np.ndarray] = {}
@@ -166,8 +183,8 @@ class Join:
             for i, part in sums.items():
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["slice", "blob"])
 
-        names = ["slice", "doc_id", "mark", "n", "cls", "blob"]
-        both = cut(self.docs.select("doc_id", "text", "mark").mapInArrow(lean(run), "slice int, doc_id bigint, mark bigint, n bigint, cls bigint, blob binary"))
+        names = ["slice", "doc_id", "mark", "n", "cls", "bits", "brief", "blob"]
+        both = cut(self.docs.select("doc_id", "text", "mark").mapInArrow(lean(run), "slice int, doc_id bigint, mark bigint, n bigint, cls bigint, bits array<bigint>, brief array<bigint>, blob binary"))
         counts = np.zeros((SLICES, COUNTERS // SLICES), dtype=np.int64)
         for r in both.where("slice >= 0").select("slice", "blob").repartition(8, "slice").mapInArrow(lean(add), "slice int, blob binary").groupBy("slice").agg(F.collect_list("blob").alias("blobs")).collect():
             for blob in r.blobs:  # one: a slice is in one partition; the table is 32 MB at any size of input
@@ -178,7 +195,7 @@ class Join:
         clear = counts > mean + 4 * mean**0.5 + 2
         level = np.where(clear, np.minimum(np.log2(np.maximum(counts, 1)).astype(np.int64), 62), 0).astype(np.uint8)
         beyond = (float((counts.astype(np.float64) ** 2).sum()) - total * mean - total) / max(1, total)
-        return both.where("slice < 0").select("doc_id", "mark", "n", "cls"), level, min(64.0, max(1.0, 1.0 + beyond))
+        return both.where("slice < 0").select("doc_id", "mark", "n", "cls", "bits", "brief"), level, min(64.0, max(1.0, 1.0 + beyond))
 
     def stars(self, plan: Plan, level: np.ndarray, n_buckets: int) -> DataFrame:
         """(sig, a, b, na, nb): every list with two classes or more, tied to its smallest ones."""
@@ -256,9 +273,67 @@ class Join:
         rows = self.docs.select("text").mapInArrow(lean(run), "bucket bigint, kind int, blob binary")
         return rows.groupBy("bucket").applyInArrow(meet, STAR)
 
+    def across(self, entries: DataFrame, classes: DataFrame) -> DataFrame:
+        """Distinct pairs (a, b, na, nb) of entries (sig, c, n, root) that share a signature, have different roots and sizes that
+        fit, and whose parities do not rule them out.
+
+        A long list is cut into blocks of BLOCK members, and each two blocks meet in some task, so no task gets a whole list and
+        rows are BLOCK times fewer than pairs.
+        """
+        percent = self.percent
+        size = entries.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).toDF("of_sig", "blocks")
+        rows = entries.join(size, F.col("sig") == F.col("of_sig")).join(classes.select(F.col("cls").alias("c"), F.col("brief").alias("bits")), "c")
+        block = F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")
+        meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(block, o).alias("x"), F.greatest(block, o).alias("y")))
+        rows = rows.select("sig", "c", "n", "root", "bits", block.alias("block"), F.explode(meets).alias("meet"))
+        keys = max(1, int(entries.count() / MEET) + 1)
+        rows = rows.select(F.pmod(F.xxhash64("sig", "meet"), F.lit(keys)).alias("key"), "sig", F.col("meet.x").alias("x"), F.col("meet.y").alias("y"), "c", "n", "root", "bits", "block")
+
+        def meet(part: pa.Table) -> pa.Table:
+            sig, x, y, c, n, root, block = (part.column(k).to_numpy() for k in ("sig", "x", "y", "c", "n", "root", "block"))
+            bits = part.column("bits").combine_chunks().flatten().to_numpy().view(U).reshape(len(c), -1)
+            order = np.lexsort((block, y, x, sig))
+            group = np.concatenate(([0], np.flatnonzero((np.diff(sig[order]) != 0) | (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0)) + 1, [len(c)]))
+            found = []
+            for lo, hi in zip(group[:-1].tolist(), group[1:].tolist()):
+                at = order[lo:hi]
+                first = at[: np.count_nonzero(block[at] == x[at[0]])]
+                same = x[at[0]] == y[at[0]]
+                second = at if same else at[len(first) :]
+                for i in range(0, len(first), 256):
+                    left = first[i : i + 256]
+                    right = second[i:] if same else second
+                    fits = (root[left][:, None] != root[right]) & (100 * np.minimum(n[left][:, None], n[right]) >= percent * np.maximum(n[left][:, None], n[right]))
+                    p, q = np.nonzero(fits)
+                    p, q = left[p], right[q]
+                    for j in range(0, len(p), 100_000):
+                        u, v = p[j : j + 100_000], q[j : j + 100_000]
+                        differ = np.bitwise_count(bits[u] ^ bits[v]).sum(axis=1, dtype=np.int64)
+                        ok = ((100 + percent) * differ <= (100 - percent) * (n[u] + n[v])) & (c[u] != c[v])
+                        u, v = u[ok], v[ok]
+                        swap = c[u] > c[v]
+                        found.append(np.stack((np.where(swap, c[v], c[u]), np.where(swap, c[u], c[v]), np.where(swap, n[v], n[u]), np.where(swap, n[u], n[v]))))
+            out = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((4, 0), np.int64)
+            trim()
+            return pa.table({k: pa.array(np.ascontiguousarray(v)) for k, v in zip(("a", "b", "na", "nb"), out)})
+
+        return rows.groupBy("key").applyInArrow(meet, "a bigint, b bigint, na bigint, nb bigint").distinct()
+
     def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """pairs (a, b, na, nb) with ``linked``; sets are read again from one document of each class."""
+        """pairs (a, b) with ``linked``.
+
+        Parities give a lower bound of how many shingles a pair differs in, and rule out pairs that differ in too many;
+        the sets of the others are read again from one document of each class and intersected.
+        """
         k, percent = self.k, self.percent
+        every = pairs
+        sketch = classes.select("cls", "bits")
+        pairs = pairs.join(sketch.toDF("a", "bits_a"), "a").join(sketch.toDF("b", "bits_b"), "b")
+        half = lambda x: F.zip_with(F.slice(x, 1, (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, F.size(x)), lambda u, v: u.bitwiseXOR(v))
+        a, b = F.col("bits_a"), F.col("bits_b")  # sizes that fit differ by less than 2, so at most one is halved
+        a, b = F.when(F.size(a) > F.size(b), half(a)).otherwise(a), F.when(F.size(b) > F.size(a), half(b)).otherwise(b)
+        differ = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+        pairs = cut(pairs.where((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb"))
         wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct().join(classes, "cls").select("cls", F.col("doc_id").alias("of_doc"), F.col("mark").alias("of_mark"))
         wanted = bounded(cut(wanted))
 
@@ -269,14 +344,15 @@ class Join:
 
         texts = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("mark") == F.col("of_mark"))).select("cls", "text")
         sets = texts.mapInArrow(lean(run), "cls bigint, found array<bigint>")
-        half = pairs.join(sets.toDF("b", "found_b"), "b")
-        whole_pairs = half.join(sets.toDF("a", "found_a"), "a")
+        joined = pairs.join(sets.toDF("b", "found_b"), "b")
+        whole_pairs = joined.join(sets.toDF("a", "found_a"), "a")
         inter = F.size(F.array_intersect("found_a", "found_b"))
-        return whole_pairs.select("a", "b", (100 * inter >= percent * (F.col("na") + F.col("nb") - inter)).alias("linked")).groupBy("a", "b").agg(F.max("linked").alias("linked"))
+        linked = whole_pairs.where(100 * inter >= percent * (F.col("na") + F.col("nb") - inter)).select("a", "b").distinct().withColumn("linked", F.lit(True))
+        return every.select("a", "b").join(linked, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked"))
 
     def run(self) -> DataFrame:
         members, level, penalty = self.members()
-        classes = cut(members.where("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "mark")).alias("of"), F.min("n").alias("n"), F.min("doc_id").alias("least")).select("cls", "n", "least", "of.doc_id", "of.mark"))
+        classes = cut(members.where("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "mark", "bits", "brief")).alias("of"), F.min("n").alias("n"), F.min("doc_id").alias("least")).select("cls", "n", "least", "of.doc_id", "of.mark", "of.bits", "of.brief"))
         # sizes over 256 count as their power of 1.1: the driver gets a few hundred rows
         sizes = classes.groupBy(F.when(F.col("n") <= 256, F.col("n")).otherwise(F.pow(F.lit(1.1), F.round(F.ln("n") / math.log(1.1))).cast("bigint")).alias("n")).agg(F.count("*").alias("classes"))
         sizes = {r.n: r.classes for r in sizes.collect()}
@@ -288,17 +364,13 @@ class Join:
         seen = cut(self.verified(near, classes))
         links = seen.where("linked").select("a", "b")
         roots = components(links)
-        # lists that still span several components
-        apart = stars.select("a", "b").distinct()
-        apart = self._rooted(self._rooted(apart, roots, "a"), roots, "b").where("root_a <> root_b").select("a", "b")
-        open_sigs = stars.join(apart, ["a", "b"], "left_semi").select("sig").distinct()
-        entries = stars.join(open_sigs, "sig", "left_semi")
-        entries = entries.select("sig", F.col("a").alias("c"), F.col("na").alias("n")).union(entries.select("sig", F.col("b"), F.col("nb"))).distinct()
-        entries = cut(self._rooted(entries, roots, "c"))
-        left, right = entries.toDF("sig", "a", "na", "root_a"), entries.toDF("sig", "b", "nb", "root_b")
-        rest = left.join(right, "sig").where("a < b AND root_a <> root_b").where(fits).select("a", "b", "na", "nb").distinct().join(seen, ["a", "b"], "left_anti")
-        rest = cut(rest)
-        if rest.limit(1).count():
+        # lists that still span several components: their members are compared across components, in blocks
+        rooted = self._rooted(self._rooted(stars, roots, "a"), roots, "b")
+        open_sigs = bounded(cut(rooted.where("root_a <> root_b").select("sig").distinct()))
+        entries = rooted.join(open_sigs, "sig", "left_semi")
+        entries = entries.select("sig", F.col("a").alias("c"), F.col("na").alias("n"), F.col("root_a").alias("root")).union(entries.select("sig", "b", "nb", "root_b")).distinct()
+        rest = cut(self.across(cut(entries), classes).join(seen, ["a", "b"], "left_anti"))
+        if not rest.isEmpty():
             links = links.unionByName(self.verified(rest, classes).where("linked").select("a", "b"))
             roots = components(links)
         owned = self._rooted(classes.select("cls", "least"), roots, "cls")
