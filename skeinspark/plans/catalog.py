@@ -1125,7 +1125,7 @@ def F9_F10_families(spark, sf_dir):
     return P.of_type(P.families(found, ["^event", "^req"], ["^zz"]), "gauge").select("family", "type")
 
 
-@query("SELECT 'user' AS label, count(DISTINCT user_id) AS cardinality FROM events")
+@query("SELECT 'user' AS label, count(DISTINCT user_id) AS cardinality FROM events HAVING count(DISTINCT user_id) > 50")
 def F19_min_tier(spark, sf_dir):
     e = raw.event_samples(spark, sf_dir)
     e = e.withColumn("labels", F.map_concat("labels", F.create_map(F.lit("user"), F.col("user_id").cast("string"))))
