@@ -51,7 +51,8 @@ def test_decontamination_stage(spark, sf, docs):
     assert hit and {r.doc_id for r in P.drop_leaks(spark, docs, sf).collect()} == {r.doc_id for r in docs.collect()} - hit
 
 
-def test_secret_stage(spark, sf, docs):
+def test_secret_stage(spark, sf):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")  # the smallest table that has secrets
     out = {r.doc_id: r for r in P.redact_secrets(spark, docs, sf).collect()}
     assert len(out) == docs.count()
     assert all(out[r.doc_id].text == r.text for r in docs.collect() if not secrets.MARK in out[r.doc_id].text)
