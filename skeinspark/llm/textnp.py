@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 21
+PIECE = 1 << 19
 U = np.uint64
 
 
