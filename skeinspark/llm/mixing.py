@@ -29,6 +29,8 @@ CAP = 3
 #: Documents of a rounding bucket, rounds of Newton steps, size classes' candidates for the last correction.
 BUCKET, ROUNDS, CHOICES = 4096, 60, 8
 MILLI, MICRO = 1000, 1_000_000
+#: Bounds of a multiplier, and the share of the target that rates may miss before rounding.
+WIDEST, CLOSE = 64.0, 1e-3
 
 
 def exact(x: Column, unit: int) -> Column:
@@ -56,9 +58,17 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
 
 
 def multipliers(histogram: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFrame:
-    """(source, mean, m): the dual's solution for each source; histogram has (source, size, n), goals (source, source_size, target, n_docs)."""
-    state = goals.select("source", "target", "source_size", (F.col("source_size") / F.greatest(F.col("n_docs"), F.lit(1))).alias("mean"), F.lit(0.0).alias("m"), F.lit(-64.0).alias("low"), F.lit(64.0).alias("high"), F.lit(False).alias("done"))
-    state = cut(state.where("source_size > 0"))
+    """(source, mean, m): the dual's solution for each source; histogram has (source, size, n), goals (source, source_size, target, n_docs).
+
+    The first multiplier is that of the rate at the source's mean over words; a source whose target is its cap needs no steps.
+    """
+    spread = histogram.groupBy("source").agg(F.sum(F.col("size").cast("double") * F.col("size") * F.col("n")).alias("squares")).withColumnRenamed("source", "of")
+    state = goals.where("source_size > 0").join(spread, F.col("source").eqNullSafe(F.col("of")))
+    mean = F.col("source_size") / F.greatest(F.col("n_docs"), F.lit(1))
+    at_cap = F.col("target") >= (1 - 1e-9) * cap * F.col("source_size")
+    guess = F.ln(F.col("target") / F.col("source_size")) * mean * F.col("source_size") / F.col("squares")
+    first = F.when(at_cap, F.lit(WIDEST)).otherwise(F.round(F.greatest(F.lit(-WIDEST), F.least(F.lit(WIDEST), guess)), 9))
+    state = cut(state.select("source", "target", "source_size", mean.alias("mean"), first.alias("m"), F.lit(-WIDEST).alias("low"), F.lit(WIDEST).alias("high"), at_cap.alias("done")))
     for _ in range(ROUNDS):
         s = state.where("NOT done").withColumnRenamed("source", "of")
         x = F.col("size") / F.col("mean")
@@ -74,7 +84,7 @@ def multipliers(histogram: DataFrame, goals: DataFrame, cap: int = CAP) -> DataF
         newton = F.col("m") - gap / F.when(F.col("slope") > 0, F.col("slope"))
         inside = (newton > low) & (newton < high)
         step = F.round(F.when(F.coalesce(inside, F.lit(False)), newton).otherwise((low + high) / 2), 12)
-        over = F.col("done") | (F.abs(gap) <= 1e-4 * F.col("target") + 0.5) | (high - low < 1e-9)
+        over = F.col("done") | (F.abs(gap) <= CLOSE * F.col("target") + 0.5) | (high - low < 1e-9)
         state = cut(joined.select("source", "target", "source_size", "mean", F.when(over, F.col("m")).otherwise(step).alias("m"), F.when(over, F.col("low")).otherwise(low).alias("low"), F.when(over, F.col("high")).otherwise(high).alias("high"), F.coalesce(over, F.lit(True)).alias("done")))
         if not state.where("NOT done").limit(1).count():
             break
@@ -98,7 +108,8 @@ def mix(docs: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIG
     found = multipliers(histogram, goals, cap)
     per_source = cut(goals.join(found.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left").select(F.col("source").alias("of"), "source_size", "target", "n_docs", "mean", "m"))
 
-    rate = F.when(F.col("size") == 0, 1.0).otherwise(F.least(F.lit(float(cap)), F.exp(F.least(F.col("m") * F.col("size") / F.col("mean"), F.lit(50.0)))))
+    # a multiplier at its bound is a source at its cap
+    rate = F.when(F.col("size") == 0, 1.0).when(F.col("m") >= WIDEST, float(cap)).otherwise(F.least(F.lit(float(cap)), F.exp(F.least(F.col("m") * F.col("size") / F.col("mean"), F.lit(50.0)))))
     rated = rows.join(per_source, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", F.round(rate, 8))
     # systematic rounding: the running sum of fractional words passes a mark of the document's own size now and then
     bucket = F.pmod(F.xxhash64("place"), F.ceil(F.col("n_docs") / BUCKET))
