@@ -72,7 +72,8 @@ def segments(scores):
         total = 0
         for j in range(i, len(scores)):
             total += scores[j]
-            if total > best + 1e-9:
-                best, at = total, (i, j + 1)
+            shorter = at is not None and abs(total - best) <= 1e-9 and j + 1 - i < at[1] - at[0]  # no ends that add nothing
+            if total > best + 1e-9 or shorter:
+                best, at = max(best, total), (i, j + 1)
     i, j = at
     return segments(scores[:i]) + [(i, j)] + [(a + j, b + j) for a, b in segments(scores[j:])]
