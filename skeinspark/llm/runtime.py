@@ -67,7 +67,7 @@ def held_out() -> Column:
 
 
 def trim() -> None:
-    """Give the memory that a Python worker has freed back to the machine; a reused worker would keep it."""
+    """Give the memory that a Python process has freed back to the machine; a reused worker, or the driver, would keep it."""
     import ctypes
     import gc
 

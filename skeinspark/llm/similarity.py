@@ -11,7 +11,8 @@ from common; it decides only the order and the cost, never the result.
 
 Candidates.  A list never becomes all its pairs: each task, then each bucket, ties the members of a list to
 the member with the smallest class number.  Stars are verified and components built; only members of lists
-that still span several components are compared, across components and in blocks, so no list is in one task.  A sketch of parities, a lower
+that still span several components are compared, across components and in blocks, so no list is in one task:
+first for links that would tie components together, then for any link between those that are left.  A sketch of parities, a lower
 bound of the difference, rules most candidates out; the texts of the others are read again and whole sets
 intersected.
 """
@@ -185,17 +186,22 @@ class Join:
 
         names = ["slice", "doc_id", "mark", "n", "cls", "bits", "brief", "blob"]
         both = cut(self.docs.select("doc_id", "text", "mark").mapInArrow(lean(run), "slice int, doc_id bigint, mark bigint, n bigint, cls bigint, bits array<bigint>, brief array<bigint>, blob binary"))
-        counts = np.zeros((SLICES, COUNTERS // SLICES), dtype=np.int64)
-        for r in both.where("slice >= 0").select("slice", "blob").repartition(8, "slice").mapInArrow(lean(add), "slice int, blob binary").groupBy("slice").agg(F.collect_list("blob").alias("blobs")).collect():
-            for blob in r.blobs:  # one: a slice is in one partition; the table is 32 MB at any size of input
-                counts[r.slice] += np.frombuffer(zlib.decompress(blob), dtype=np.int64)
-        counts = counts.reshape(-1)
-        total = int(counts.sum())
+        # a slice is in one partition; the whole table is a few MB here at any size of input, and is unpacked a slice at a time
+        rows = both.where("slice >= 0").select("slice", "blob").repartition(8, "slice").mapInArrow(lean(add), "slice int, blob binary").collect()
+        read = lambda r: np.frombuffer(zlib.decompress(r.blob), dtype=np.int64)
+        total, squares = 0, 0.0
+        for r in rows:
+            total, squares = total + int(read(r).sum()), squares + float(np.square(read(r), dtype=np.float64).sum())
         mean = total / COUNTERS
-        clear = counts > mean + 4 * mean**0.5 + 2
-        level = np.where(clear, np.minimum(np.log2(np.maximum(counts, 1)).astype(np.int64), 62), 0).astype(np.uint8)
-        beyond = (float((counts.astype(np.float64) ** 2).sum()) - total * mean - total) / max(1, total)
-        return both.where("slice < 0").select("doc_id", "mark", "n", "cls", "bits", "brief"), level, min(64.0, max(1.0, 1.0 + beyond))
+        level = np.zeros((SLICES, COUNTERS // SLICES), dtype=np.uint8)
+        for r in rows:
+            counts = read(r)
+            clear = counts > mean + 4 * mean**0.5 + 2
+            level[r.slice][clear] = np.minimum(np.log2(counts[clear]), 62).astype(np.uint8)
+        beyond = (squares - total * mean - total) / max(1, total)
+        del rows
+        trim()
+        return both.where("slice < 0").select("doc_id", "mark", "n", "cls", "bits", "brief"), level.reshape(-1), min(64.0, max(1.0, 1.0 + beyond))
 
     def stars(self, plan: Plan, level: np.ndarray, n_buckets: int) -> DataFrame:
         """(sig, a, b, na, nb): every list with two classes or more, tied to its smallest ones."""
@@ -273,9 +279,9 @@ class Join:
         rows = self.docs.select("text").mapInArrow(lean(run), "bucket bigint, kind int, blob binary")
         return rows.groupBy("bucket").applyInArrow(meet, STAR)
 
-    def across(self, entries: DataFrame, classes: DataFrame) -> DataFrame:
+    def across(self, entries: DataFrame, classes: DataFrame, forest: bool) -> DataFrame:
         """Distinct pairs (a, b, na, nb) of entries (sig, c, n, root) that share a signature, have different roots and sizes that
-        fit, and whose parities do not rule them out.
+        fit, and whose parities do not rule them out: all of them, or only as many as tie the roots that a task has together.
 
         A long list is cut into blocks of BLOCK members, and each two blocks meet in some task, so no task gets a whole list and
         rows are BLOCK times fewer than pairs.
@@ -295,6 +301,25 @@ class Join:
             order = np.lexsort((block, y, x, sig))
             group = np.concatenate(([0], np.flatnonzero((np.diff(sig[order]) != 0) | (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0)) + 1, [len(c)]))
             found = []
+            over: dict[int, int] = {}
+
+            def top(r: int) -> int:
+                while (o := over.get(r, r)) != r:
+                    over[r] = r = over.get(o, o)
+                return r
+
+            def tying(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+                """Places of pairs that join roots not yet joined."""
+                names, at = np.unique(np.concatenate((root[u], root[v])), return_inverse=True)
+                now = np.array([top(r) for r in names.tolist()], dtype=np.int64)[at]
+                keep = []
+                for i in np.flatnonzero(now[: len(u)] != now[len(u) :]).tolist():
+                    x, y = top(int(root[u[i]])), top(int(root[v[i]]))
+                    if x != y:
+                        over[max(x, y)] = min(x, y)
+                        keep.append(i)
+                return np.array(keep, dtype=np.int64)
+
             for lo, hi in zip(group[:-1].tolist(), group[1:].tolist()):
                 at = order[lo:hi]
                 first = at[: np.count_nonzero(block[at] == x[at[0]])]
@@ -311,6 +336,9 @@ class Join:
                         differ = np.bitwise_count(bits[u] ^ bits[v]).sum(axis=1, dtype=np.int64)
                         ok = ((100 + percent) * differ <= (100 - percent) * (n[u] + n[v])) & (c[u] != c[v])
                         u, v = u[ok], v[ok]
+                        if forest and len(u):
+                            keep = tying(u, v)
+                            u, v = u[keep], v[keep]
                         swap = c[u] > c[v]
                         found.append(np.stack((np.where(swap, c[v], c[u]), np.where(swap, c[u], c[v]), np.where(swap, n[v], n[u]), np.where(swap, n[u], n[v]))))
             out = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((4, 0), np.int64)
@@ -369,10 +397,21 @@ class Join:
         open_sigs = bounded(cut(rooted.where("root_a <> root_b").select("sig").distinct()))
         entries = rooted.join(open_sigs, "sig", "left_semi")
         entries = entries.select("sig", F.col("a").alias("c"), F.col("na").alias("n"), F.col("root_a").alias("root")).union(entries.select("sig", "b", "nb", "root_b")).distinct()
-        rest = cut(self.across(cut(entries), classes).join(seen, ["a", "b"], "left_anti"))
-        if not rest.isEmpty():
-            links = links.unionByName(self.verified(rest, classes).where("linked").select("a", "b"))
+        entries = cut(entries)
+        for forest in (True, False):  # first what ties components together if it links, then all that is still apart
+            rest = cut(self.across(entries, classes, forest).join(seen, ["a", "b"], "left_anti"))
+            if rest.isEmpty():
+                continue
+            found = cut(self.verified(rest, classes))
+            seen = seen.unionByName(found)
+            new = found.where("linked").select("a", "b")
+            if new.isEmpty():
+                continue
+            links = links.unionByName(new)
             roots = components(links)
+            entries = self._rooted(entries.select("sig", "c", "n"), roots, "c").withColumnRenamed("root_c", "root")
+            still = entries.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("sig")
+            entries = cut(entries.join(bounded(cut(still)), "sig", "left_semi"))
         owned = self._rooted(classes.select("cls", "least"), roots, "cls")
         least = owned.groupBy("root_cls").agg(F.min("least").alias("component_id")).withColumnRenamed("root_cls", "root")
         found = owned.join(least, F.col("root_cls") == F.col("root")).select("cls", "component_id")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import documents, held_out, lean, pick, ready
+from .runtime import documents, held_out, lean, pick, ready, trim
 
 FIT_ROWS = 10_000
 #: Prior observations for each one seen, smallest z of a scoring token, cost of each token, smallest share of toxic tokens that a scoring token has.
@@ -204,6 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     y = np.array([r.toxic for r in seen], dtype=float)
     w = np.array([size[r.toxic] / used[r.toxic] for r in seen])
     model.steps = monotone(x, y, w)
+    del seen, kept
+    trim()
     return model
 
 
