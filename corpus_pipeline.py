@@ -18,14 +18,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked at 0.8 over 5-word shingles: the one with the smallest doc_id."""
+    """One document of each group linked at 0.8 over 5-word shingles: the one with the smallest doc_id, then text hash."""
     found = cut(similarity.groups(docs, k=5, percent=80))
-    other = bounded(cut(found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"))))
-    left = docs.join(other, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & F.xxhash64("text").eqNullSafe(F.col("__mark")), "left_anti")
-    kept = found.where("doc_id <=> component_id AND n_shingles > 0")
-    if kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():  # rows that repeat a doc_id
-        full = F.coalesce(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
-        left = left.where(full).dropDuplicates(["doc_id"]).unionByName(left.where(~full))
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("mark") == F.col("component_mark"))
+    keys = lambda rows: rows.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & F.xxhash64("text").eqNullSafe(F.col("__mark"))
+    other = bounded(cut(keys(found.where(~first))))
+    left = docs.join(other, same, "left_anti")
+    again = bounded(cut(keys(found.where(first & (F.col("n_shingles") > 0))).groupBy("__doc", "__mark").agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")))
+    if not again.isEmpty():  # rows that repeat both doc_id and text
+        once = left.join(again, same).dropDuplicates(["__doc", "__mark"]).select(*docs.columns)
+        left = left.join(again, same, "left_anti").unionByName(once)
     return left
 
 

@@ -352,7 +352,7 @@ class Join:
 
     def run(self) -> DataFrame:
         members, level, penalty = self.members()
-        classes = cut(members.where("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "mark", "bits", "brief")).alias("of"), F.min("n").alias("n"), F.min("doc_id").alias("least")).select("cls", "n", "least", "of.doc_id", "of.mark", "of.bits", "of.brief"))
+        classes = cut(members.where("n > 0").groupBy("cls").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "mark", "bits", "brief")).alias("of"), F.min("n").alias("n")).select("cls", "n", "of.none", "of.doc_id", "of.mark", "of.bits", "of.brief"))
         # sizes over 256 count as their power of 1.1: the driver gets a few hundred rows
         sizes = classes.groupBy(F.when(F.col("n") <= 256, F.col("n")).otherwise(F.pow(F.lit(1.1), F.round(F.ln("n") / math.log(1.1))).cast("bigint")).alias("n")).agg(F.count("*").alias("classes"))
         sizes = {r.n: r.classes for r in sizes.collect()}
@@ -373,10 +373,11 @@ class Join:
         if not rest.isEmpty():
             links = links.unionByName(self.verified(rest, classes).where("linked").select("a", "b"))
             roots = components(links)
-        owned = self._rooted(classes.select("cls", "least"), roots, "cls")
-        least = owned.groupBy("root_cls").agg(F.min("least").alias("component_id")).withColumnRenamed("root_cls", "root")
-        found = owned.join(least, F.col("root_cls") == F.col("root")).select("cls", "component_id")
-        return members.join(found, "cls", "left").select("doc_id", "mark", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        owned = self._rooted(classes.select("cls", "none", "doc_id", "mark"), roots, "cls")
+        least = owned.groupBy("root_cls").agg(F.min(F.struct("none", "doc_id", "mark")).alias("least")).withColumnRenamed("root_cls", "root")
+        found = owned.join(least, F.col("root_cls") == F.col("root")).select("cls", F.col("least.doc_id").alias("component_id"), F.col("least.mark").alias("component_mark"))
+        own = lambda first, column: F.when(F.col("n") > 0, F.col(first)).otherwise(F.col(column)).alias(first)
+        return members.join(found, "cls", "left").select("doc_id", "mark", F.col("n").alias("n_shingles"), own("component_id", "doc_id"), own("component_mark", "mark"))
 
     @staticmethod
     def _rooted(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
@@ -386,11 +387,12 @@ class Join:
 
 
 def groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, mark (text hash), n_shingles and component_id (smallest doc_id reachable by links) of every row.
+    """doc_id, mark (text hash), n_shingles, component_id (smallest doc_id reachable by links) and component_mark of every row.
 
     Words are lower-cased in A-Z.  Null, empty and blank texts have an empty set and are linked with nothing; their
     component is their own doc_id.  Repeated rows are copies of each other.  A null doc_id is never the smallest
-    unless a component has no other.  Other columns are ignored.
+    unless a component has no other.  component_mark is the smallest text hash under component_id in the component:
+    the two tell its first text from others under the same, or no, doc_id.  Other columns are ignored.
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")

@@ -46,6 +46,13 @@ def test_near_duplicates_of_repeated_rows(spark, sf, docs):
     assert sorted(x for x in ids if x is not None) == sorted([r.doc_id for r in some.collect()] + [900, 900, 901, 902]) and ids.count(None) == 0
 
 
+def test_near_duplicates_keep_unrelated_texts_under_one_id(spark, sf):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(12)) for x in "abcde")
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d), (8, c), (None, e), (None, e + " more")]
+    left = P.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "0L AS n_chars"), sf).collect()
+    assert sorted((r.doc_id or 0, r.text[:1]) for r in left) == [(0, "a"), (0, "b"), (0, "e"), (7, "c"), (7, "d")]
+
+
 def test_decontamination_stage(spark, sf, docs):
     hit = {r.doc_id for r in decontamination.leaks(docs, spark.read.parquet(f"{sf}/benchmark.parquet")).collect()}
     assert hit and {r.doc_id for r in P.drop_leaks(spark, docs, sf).collect()} == {r.doc_id for r in docs.collect()} - hit
