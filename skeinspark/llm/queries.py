@@ -49,7 +49,7 @@ def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each candidate; the candidate itself only as a digest."""
     found = secrets.findings(table(spark, sf_dir, "documents"), secrets.train(secrets.generated_findings(spark)))
-    return found.select("doc_id", "word_at", F.length("candidate").alias("n_chars"), F.sha2("candidate", 256).alias("candidate_sha256"), "probability", "is_secret")
+    return found.select("doc_id", "word_at", "run_at", F.length("candidate").alias("n_chars"), F.sha2("candidate", 256).alias("candidate_sha256"), "probability", "is_secret")
 
 
 def op9_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Secret scans: candidate strings, judged by a random forest, in DataFrame functions and JVM-side trees only.
 
-A candidate is a run of at least 16 key characters with a digit.  Its features are its length, its
+A candidate is a run of at least 16 key characters with a digit; a word may hold several.  Its features are its length, its
 character transitions, how much of it a dictionary covers, whether it looks like a path, and the words next
 to it.  The forest learns from labelled findings (before, before2, candidate, after, label); where none are
 given, from findings generated by rule, of a fixed number.  Training never follows the corpus; every
@@ -15,10 +15,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import bounded, cut, documents, ready
+from .runtime import bounded, cut, documents, let, ready
 
 #: Runs that are looked at, and labelled findings generated where none are given.
 RUN = r"[A-Za-z0-9_\-+/=.]{16,}"
+#: What may surround a name or a value, and what stands between a name and the value that is assigned to it, inside a word.
+QUOTES = r"[\\\"'`]*"
+NAMED = f"^{QUOTES}[:=>]+{QUOTES}$"
+#: A short name at the end of what stands before a run, with what assigns.
+NAME = r"[A-Za-z0-9_.\-]+[\\\"'`]{0,4}[:=]{1,4}[\\\"'`]{0,4}$"
 FINDINGS = 4096
 TREES, DEPTH, THRESHOLD = 24, 8, 0.5
 MARK = "[SECRET]"
@@ -39,7 +44,7 @@ def features(rows: DataFrame) -> DataFrame:
     c = F.col("candidate")
     n = F.greatest(F.length(c), F.lit(1)).cast("double")
     share = lambda pattern: F.length(F.regexp_replace(c, pattern, "")) / n
-    near = F.split(F.concat_ws("_", plain(F.col("before2")), plain(F.col("before")), F.regexp_replace(F.lower(F.regexp_extract("word", r"^(.*?)[:=]+[\"']?" + RUN, 1)), "[^a-z0-9_]", "")), "_")
+    near = F.split(F.concat_ws("_", plain(F.col("before2")), plain(F.col("before")), F.regexp_replace(F.lower(F.regexp_extract("word", "^(.*?)[:=]+" + QUOTES + RUN, 1)), "[^a-z0-9_]", "")), "_")
     names = lambda words: F.arrays_overlap(near, F.array(*map(F.lit, words))).cast("double")
     dictionary = "(?i)(" + "|".join(sorted(PIECES, key=len, reverse=True)) + ")"
     return rows.select(
@@ -58,7 +63,7 @@ def features(rows: DataFrame) -> DataFrame:
         F.regexp_count(c, F.lit(r"\.")).cast("double").alias("f_dots"),
         names(SECRET_WORDS).alias("f_secret_word"),
         names(OTHER_WORDS).alias("f_other_word"),
-        (F.rlike(F.concat_ws(" ", "before2", "before"), F.lit("(?:=|:|:=|=>)$")) | F.rlike("word", F.lit(r"[A-Za-z][:=]+[\"']?" + RUN))).cast("double").alias("f_assigned"),
+        (F.rlike(F.concat_ws(" ", "before2", "before"), F.lit("(?:=|:|:=|=>)$")) | F.rlike("word", F.lit("[A-Za-z]" + QUOTES + "[:=]+" + QUOTES + RUN))).cast("double").alias("f_assigned"),
         F.rlike("word", F.lit(r"[\"'`]" + RUN)).cast("double").alias("f_quoted"),
     )
 
@@ -120,22 +125,47 @@ def train(findings: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Random
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, word_at, before2, before, word, after, candidate) for every word of docs (doc_id, text) with a candidate in it."""
+    """(doc_id, mark, word_at, run_at, before2, before, word, after, candidate) for every run with a digit in every word of docs (doc_id, text).
+
+    A word may hold many runs, as JSON without blanks does; run_at counts them, from 0.  word is the part of the word
+    that belongs to the candidate: the name that the word gives it, or else what stands between it and the run before,
+    and the candidate.  The words before belong to the first run of a word, or to the one that the first names.
+    """
     rows = docs.where(F.rlike("text", F.lit(RUN))).select("doc_id", F.xxhash64("text").alias("mark"), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("w"))
-    at = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("i"), F.regexp_extract(x, RUN, 0).alias("c"))), lambda s: (F.length(s["c"]) > 0) & F.rlike(s["c"], F.lit("[0-9]")))
-    near = F.transform(at, lambda s: F.struct(s["i"].alias("word_at"), F.get("w", s["i"] - 2).alias("before2"), F.get("w", s["i"] - 1).alias("before"), F.get("w", s["i"]).alias("word"), F.get("w", s["i"] + 1).alias("after"), s["c"].alias("candidate")))
-    return rows.select("doc_id", "mark", F.explode(near).alias("x")).select("doc_id", "mark", "x.*")
+    at = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: F.rlike(s["x"], F.lit(RUN)))
+    near = F.transform(at, lambda s: F.struct(s["i"].alias("word_at"), F.get("w", s["i"] - 2).alias("before2"), F.get("w", s["i"] - 1).alias("before"), F.get("w", s["i"] + 1).alias("after"), s["x"].alias("word")))
+    rows = rows.select("doc_id", "mark", F.explode(near).alias("x")).select("doc_id", "mark", "x.*")
+
+    def each(p: Column) -> Column:
+        def one(c: Column, j: Column) -> Column:
+            gap = F.get(p["gaps"], j)
+            named = (j > 0) & F.rlike(gap, F.lit(NAMED))
+            first = (j == 0) | ((j == 1) & named)
+            return F.struct(
+                j.alias("run_at"),
+                F.when(first, F.col("before2")).alias("before2"),
+                F.when(first, F.col("before")).alias("before"),
+                F.concat(F.when(named, F.concat(F.get(p["runs"], j - 1), gap)).otherwise(F.coalesce(F.nullif(F.regexp_extract(gap, NAME, 0), F.lit("")), gap)), c).alias("word"),
+                c.alias("candidate"),
+            )
+
+        return F.filter(F.transform(p["runs"], one), lambda s: F.rlike(s["candidate"], F.lit("[0-9]")))
+
+    # gaps[j] stands before runs[j]
+    parts = F.struct(F.regexp_extract_all("word", F.lit(RUN), F.lit(0)).alias("runs"), F.split("word", RUN, -1).alias("gaps"))
+    rows = rows.select("doc_id", "mark", "word_at", "after", F.explode(let(parts, each)).alias("x"))
+    return rows.select("doc_id", "mark", "word_at", "x.run_at", "x.before2", "x.before", "x.word", "after", "x.candidate")
 
 
 def findings(docs: DataFrame, model: RandomForestClassificationModel, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, mark, word_at, candidate, probability, is_secret) of every candidate of every text.
+    """(doc_id, mark, word_at, run_at, candidate, probability, is_secret) of every candidate of every text.
 
     Null and empty texts have none; repeated rows and null ids are scanned like any other; other columns are ignored.
     """
     ready(docs.sparkSession)
     rows = features(candidates(documents(docs)))
     judged = model.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep").transform(rows))
-    return judged.select("doc_id", "mark", "word_at", "candidate", F.round(vector_to_array("probability")[1], 6).alias("probability")).withColumn("is_secret", F.col("probability") >= threshold)
+    return judged.select("doc_id", "mark", "word_at", "run_at", "candidate", F.round(vector_to_array("probability")[1], 6).alias("probability")).withColumn("is_secret", F.col("probability") >= threshold)
 
 
 def redact(docs: DataFrame, model: RandomForestClassificationModel, threshold: float = THRESHOLD) -> DataFrame:

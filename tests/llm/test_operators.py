@@ -400,6 +400,17 @@ def test_secrets(spark, forest):
     assert out[0].text == 'see token = "[SECRET]" there' and out[0].n_chars == len(out[0].text) and out[1].text == texts[1] and out[6].text is None and key not in out[8].text
 
 
+def test_every_run_of_a_word_is_a_candidate(spark, forest):
+    key, commit = hashlib.sha1(b"k").hexdigest(), hashlib.sha1(b"c").hexdigest()
+    texts = [f'{{"aws_secret_access_key":"{key}"}}', f"https://api.example.com/v1/users?access_token={key}", f'{{"commit":"{commit}","token":"{key}"}}', f'{{"long_name_without_digit":"none","token":"{key}","more":["{key}"]}}']
+    rows = secrets.findings(frame(spark, texts), forest).collect()
+    assert sorted((r.doc_id, r.word_at, r.run_at, r.candidate) for r in rows) == [(0, 0, 1, key), (1, 0, 0, "//api.example.com/v1/users"), (1, 0, 1, f"access_token={key}"), (2, 0, 0, commit), (2, 0, 1, key), (3, 0, 1, key), (3, 0, 2, key)]
+    judged = {(r.doc_id, r.run_at): r.is_secret for r in rows}
+    assert {k for k, secret in judged.items() if secret} >= {(0, 1), (1, 1), (2, 1), (3, 1)} and not judged[1, 0] and not judged[2, 0], [(r.doc_id, r.run_at, r.probability) for r in rows]
+    out = {r.doc_id: r.text for r in secrets.redact(frame(spark, texts), forest).collect()}
+    assert not any(key in t for t in out.values()) and commit in out[2]
+
+
 def test_forest_on_findings_it_has_not_seen(spark, forest):
     from pyspark.ml.feature import VectorAssembler
 
