@@ -69,10 +69,19 @@ def base_rules(docs: DataFrame) -> DataFrame:
     return rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
+def line_hash(line: Column) -> Column:
+    """Hash of the normalised line: blanks collapsed, lower case."""
+    return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, BLANKS, " "))))
+
+
+def without_lines(text: Column, lines: Column) -> Column:
+    """The text without the lines whose hashes are in the array ``lines``; lines without a word stay."""
+    return F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~(F.rlike(x, F.lit(WORDS)) & F.array_contains(lines, line_hash(x)))), "\n")
+
+
 def line_rows(docs: DataFrame) -> DataFrame:
-    """docs with one row for each line that has a word: line (hash of the normalised line: blanks collapsed, lower case) and its words."""
-    normal = lambda x: F.lower(F.trim(F.regexp_replace(x, BLANKS, " ")))
-    each = F.transform(lines_of(F.col("text")), lambda x: F.struct(F.xxhash64(normal(x)).alias("line"), F.regexp_count(x, F.lit(WORDS)).alias("words")))
+    """docs with one row for each line that has a word: line (its hash) and its words."""
+    each = F.transform(lines_of(F.col("text")), lambda x: F.struct(line_hash(x).alias("line"), F.regexp_count(x, F.lit(WORDS)).alias("words")))
     kept = [c for c in docs.columns if c != "text"]
     return docs.where("text IS NOT NULL").select(*kept, F.explode(each).alias("x")).select(*kept, "x.line", "x.words")
 
@@ -87,9 +96,9 @@ def frequent_lines(docs: DataFrame, max_texts: int = MAX_TEXTS, max_share: float
 
 
 def quality(docs: DataFrame, host: str = "source", max_texts: int = MAX_TEXTS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_line_words of every row.
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_line_words, left of every row.
 
-    n_line_words: words in lines above the limit.  kept is false if a base rule fails, or the words left are under
+    left: the text without its lines above the limit; n_line_words: words that it lost.  kept is false if a base rule fails, or the words left are under
     ``min_left`` of all or fewer than 10.  Null texts are empty and fail the base rules; a null host is a host; rows
     that repeat another one get the same verdict; other columns are ignored.
     """
@@ -99,17 +108,15 @@ def quality(docs: DataFrame, host: str = "source", max_texts: int = MAX_TEXTS, m
     marked = rows.withColumn("mark", F.xxhash64("text"))
     found = line_rows(marked.select("host", "mark", "text"))
     often = bounded(often)
-    hits = found.join(often, F.col("host").eqNullSafe(F.col("often_host")) & (F.col("line") == F.col("often_line"))).select("host", "mark", "words")
-    # rows of a text's copies are alike, so what they lose together is shared out among them
-    copies = marked.where("text IS NOT NULL").groupBy("host", "mark").agg(F.count("*").alias("copies")).toDF("copy_host", "copy_mark", "copies")
-    lost = hits.groupBy("host", "mark").agg(F.sum("words").alias("words"))
-    lost = lost.join(copies, F.col("host").eqNullSafe(F.col("copy_host")) & (F.col("mark") == F.col("copy_mark")))
-    lost = lost.select(F.col("host").alias("lost_host"), F.col("mark").alias("lost_mark"), (F.col("words") / F.col("copies")).cast("bigint").alias("n_line_words"))
-    based = base_rules(marked).drop("text")
-    out = based.join(lost, F.col("host").eqNullSafe(F.col("lost_host")) & (F.col("mark") == F.col("lost_mark")), "left")
-    left = F.col("n_words") - F.coalesce("n_line_words", F.lit(0))
+    hits = found.join(often, F.col("host").eqNullSafe(F.col("often_host")) & (F.col("line") == F.col("often_line")))
+    lost = hits.groupBy("host", "mark").agg(F.collect_set("line").alias("lines")).toDF("lost_host", "lost_mark", "lines")
+    lost = bounded(cut(lost))
+    out = base_rules(marked).join(lost, F.col("host").eqNullSafe(F.col("lost_host")) & (F.col("mark") == F.col("lost_mark")), "left")
+    out = out.withColumn("left", F.when(F.col("lines").isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col("lines"))))
+    out = out.withColumn("n_left", F.when(F.col("lines").isNull(), F.col("n_words")).otherwise(F.regexp_count("left", F.lit(WORDS)).cast("bigint")))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (left >= min_left * F.col("n_words")) & (left >= MIN_WORDS)).alias("kept"),
-        F.coalesce("n_line_words", F.lit(0)).cast("bigint").alias("n_line_words"),
+        (~F.col("base_failed") & (F.col("n_left") >= min_left * F.col("n_words")) & (F.col("n_left") >= MIN_WORDS)).alias("kept"),
+        (F.col("n_words") - F.col("n_left")).alias("n_line_words"),
+        "left",
     )

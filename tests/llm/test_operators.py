@@ -191,6 +191,16 @@ def test_line_frequency(spark):
     assert other.where("n_line_words > 0").count() == 0
 
 
+def test_frequent_lines_are_taken_out(spark):
+    rng = random.Random(14)
+    menu = "home about contact terms privacy help"
+    bodies = [(words(rng, 30, 9999), words(rng, 30, 9999)) for _ in range(25)]
+    texts = [f"{a}\n\n  {menu.upper()} \n{b}\n{menu}" for a, b in bodies] + [f"{bodies[0][0]}\n"] * 2
+    got = {r.doc_id: r for r in quality.quality(frame(spark, texts)).collect()}
+    assert all(got[i].left == f"{a}\n\n{b}" and got[i].n_line_words == 12 and got[i].kept for i, (a, b) in enumerate(bodies))
+    assert got[25].left == got[26].left == texts[25] and got[25].n_line_words == 0
+
+
 def test_quality_edges(spark):
     assert quality.quality(odd(spark)).count() == 8 and quality.quality(odd(spark).limit(0)).count() == 0
     assert quality.quality(odd(spark)).where("doc_id IN (1, 2, 3)").where("base_failed AND NOT kept AND n_words = 0").count() == 3
