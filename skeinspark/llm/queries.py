@@ -60,7 +60,7 @@ def op9_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), tables=True)
 
 
 QUERIES = {

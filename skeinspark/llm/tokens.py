@@ -21,11 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import documents, lean, ready
+from .textnp import word_bounds
 
 #: Runs whose counts a worker remembers, and the longest run that is remembered.
 MEMO, MEMO_BYTES = 1_000_000, 64
 #: Bytes of one text that are split at a time.
 PIECE = 1 << 22
+#: Entries of prefix tables that a batch of rows gathers.
+ENTRIES = 1 << 20
 
 
 class Counter:
@@ -75,17 +78,24 @@ def pieces(data: bytes) -> Iterator[bytes]:
     yield data[at:] if at else data
 
 
-def total(counter: Counter, data: bytes) -> int:
-    return sum(sum(counter.count(p.split())) for p in pieces(data))
+def prefix_table(counter: Counter, text: str | bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Ends, in code points, of the text's runs of non-blanks, and the token count of the prefix up to each end; built a piece at a time."""
+    ends, counts, at, done = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0, 0
+    for piece in pieces(text.encode() if isinstance(text, str) else text):
+        data = np.frombuffer(piece, dtype=np.uint8)
+        stops = word_bounds(data)[1]
+        points = None if piece.isascii() else np.cumsum((data & 0xC0) != 0x80)  # code points up to each byte
+        if len(stops):
+            ends.append(at + (stops if points is None else points[stops - 1]))
+            counts.append(done + np.cumsum(np.array(counter.count(piece.split()), dtype=np.int64)))
+            done = int(counts[-1][-1])
+        at += len(piece) if points is None else int(points[-1])
+    return np.concatenate(ends), np.concatenate(counts)
 
 
-def prefix_table(counter: Counter, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ends, in code points, of the text's runs of non-blanks, and the token count of the prefix up to each end."""
-    import re
-
-    found = [(m.end(), m.group()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
-    counts = counter.count([r.encode() for _, r in found])
-    return np.array([e for e, _ in found], dtype=np.int64), np.cumsum(np.array(counts, dtype=np.int64))
+def total(counter: Counter, text: str | bytes) -> int:
+    counts = prefix_table(counter, text)[1]
+    return int(counts[-1]) if len(counts) else 0
 
 
 def tokens_at(counter: Counter, text: str, ends: np.ndarray, counts: np.ndarray, i: int) -> int:
@@ -117,34 +127,40 @@ def longest_prefix(counter: Counter, text: str, ends: np.ndarray, counts: np.nda
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, tables: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit of every row; with ``tables`` also prefix_ends and prefix_tokens (arrays of bigint).
+    """doc_id, n_bytes, n_tokens, over_limit of every row, from its prefix table; with ``tables`` also the table: prefix_ends and prefix_tokens (arrays of bigint).
 
     Null and empty texts: 0 bytes, 0 tokens.  Repeated rows and null ids: a row each.  Other columns of docs are ignored.
-    One narrow pass; texts are split in pieces, memory follows one batch and the memo.
+    One narrow pass; texts are split in pieces, memory follows one batch, ENTRIES and the largest table, and the memo.
     """
     ready(docs.sparkSession)
     schema = "doc_id bigint, n_bytes bigint, n_tokens bigint" + ", prefix_ends array<bigint>, prefix_tokens array<bigint>" * tables
 
     def run(batches):
         counter = Counter(path)
+
+        def rows(ids, n_bytes, n_tokens, ends, counts):
+            arrays = [ids, pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())]
+            names = ["doc_id", "n_bytes", "n_tokens"]
+            if tables:
+                cuts = pa.array(np.cumsum([0, *map(len, ends)]), pa.int32())
+                arrays += [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(x), pa.int64())) for x in (ends, counts)]
+                names += ["prefix_ends", "prefix_tokens"]
+            return pa.RecordBatch.from_arrays(arrays, names=names)
+
         for batch in batches:
             column = batch.column(1).cast(pa.binary() if pa.types.is_string(batch.column(1).type) else pa.large_binary())
-            n_bytes, n_tokens, ends, counts = [], [], [], []
-            for x in column:
+            first, held, n_bytes, n_tokens, ends, counts = 0, 0, [], [], [], []
+            for i, x in enumerate(column):
                 data = x.as_py() or b""
+                e, c = prefix_table(counter, data)
                 n_bytes.append(len(data))
+                n_tokens.append(int(c[-1]) if len(c) else 0)
                 if tables:
-                    e, c = prefix_table(counter, data.decode())
                     ends.append(e)
                     counts.append(c)
-                    n_tokens.append(int(c[-1]) if len(c) else 0)
-                else:
-                    n_tokens.append(total(counter, data))
-            arrays = [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())]
-            names = ["doc_id", "n_bytes", "n_tokens"]
-            if tables:
-                arrays += [pa.array(ends, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))]
-                names += ["prefix_ends", "prefix_tokens"]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+                    held += len(e)
+                if held >= ENTRIES or i + 1 == len(column):
+                    yield rows(batch.column(0).slice(first, i + 1 - first), n_bytes, n_tokens, ends, counts)
+                    first, held, n_bytes, n_tokens, ends, counts = i + 1, 0, [], [], [], []
 
     return documents(docs).mapInArrow(lean(run), schema).withColumn("over_limit", F.col("n_tokens") > limit)

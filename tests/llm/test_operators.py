@@ -504,6 +504,20 @@ def test_token_tables_and_edges(spark):
     assert tokens.token_counts(odd(spark).limit(0), path).count() == 0
 
 
+def test_query_stores_prefix_counts(spark, sf, counter, monkeypatch):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = queries.op10_prefix_tokens(spark, sf).collect()
+    for r in got:
+        assert r.prefix_ends == [m.end() for m in re.finditer(r"[^\x20\x09-\x0D]+", texts[r.doc_id])] and (r.prefix_tokens or [0])[-1] == r.n_tokens
+    for r in got[:5]:
+        i = r.prefix_ends[len(r.prefix_ends) // 2]
+        assert r.prefix_tokens[len(r.prefix_ends) // 2] == len(counter.tokenizer.encode(texts[r.doc_id][:i], add_special_tokens=False).ids)
+    text = "naïve café  中文 字\n" * 40 + " x"
+    whole = tokens.prefix_table(counter, text)
+    monkeypatch.setattr(tokens, "PIECE", 20)
+    assert all((a == b).all() for a, b in zip(whole, tokens.prefix_table(counter, text))) and len(whole[0]) == 161
+
+
 def test_memo_is_bounded(monkeypatch, counter):
     import public_tokenizers
 
