@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinspark.llm import decontamination, mixing, secrets, similarity, toxicity
-from skeinspark.llm.runtime import bounded, cut, ready, scratch, table
+from skeinspark.llm.runtime import bounded, cut, marked, ready, scratch, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,18 +18,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked at 0.8 over 5-word shingles: the one with the smallest doc_id, then text hash."""
+    """One document of each group linked at 0.8 over 5-word shingles: the one with the smallest doc_id, then text hash.
+
+    Texts without a word are in no group and stay; of rows that repeat the doc_id and text that stay, one does.  Columns
+    whose names clash are kept.
+    """
     found = cut(similarity.groups(docs, k=5, percent=80))
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("mark") == F.col("component_mark"))
-    keys = lambda rows: rows.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & F.xxhash64("text").eqNullSafe(F.col("__mark"))
-    other = bounded(cut(keys(found.where(~first))))
-    left = docs.join(other, same, "left_anti")
-    again = bounded(cut(keys(found.where(first & (F.col("n_shingles") > 0))).groupBy("__doc", "__mark").agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")))
+    rows, _ = marked(docs)
+    keys = [F.col("doc_id").alias("of_doc"), F.col("mark").alias("of_mark")]
+    same = F.col("__doc").eqNullSafe(F.col("of_doc")) & (F.col("__mark") == F.col("of_mark"))
+    other = bounded(cut(found.where(~first).select(*keys).distinct()))
+    left = rows.join(other, same, "left_anti")
+    again = bounded(cut(found.where(first & (F.col("n_shingles") > 0)).groupBy(*keys).agg(F.count("*").alias("times")).where("times > 1").drop("times")))
     if not again.isEmpty():  # rows that repeat both doc_id and text
-        once = left.join(again, same).dropDuplicates(["__doc", "__mark"]).select(*docs.columns)
+        once = left.join(again, same, "left_semi").dropDuplicates(["__doc", "__mark"])
         left = left.join(again, same, "left_anti").unionByName(once)
-    return left
+    return left.drop("__doc", "__text", "__mark").toDF(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +48,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many copies of each document the mix takes."""
-    return mixing.mix(docs).drop("mark")
+    """All documents, text and all, with the copies of each that the mix takes (0 to 3) and their words."""
+    return mixing.mix(docs, whole=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

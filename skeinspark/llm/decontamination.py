@@ -7,36 +7,40 @@ that near differ by at most RADIUS // 4 bits in some block, and all block values
 Candidates are verified by exact weighted Jaccard similarity of the shingles, weights being counts.
 
 The benchmark is the query set: it is read in slices of at most ``SLICE_ITEMS`` items and each slice is held
-against all documents in one narrow pass, without a shuffle.
+against all documents in one narrow pass, without a shuffle; the driver has one slice at a time.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import documents, lean, pick, ready
+from .runtime import documents, lean, only, pick, ready
 from .textnp import U, document_words, mix, shingles
 
 SHINGLE, SIMILARITY, RADIUS, SLICE_ITEMS = 5, 0.8, 19, 20_000
 BLOCKS, BLOCK_BITS = 4, 16
+#: Windows of one text that are fingerprinted at a time.
+PRINTS = 1 << 14
 _BITS = np.arange(64, dtype=np.uint64)
 
 
 def bit_signs(hashes: np.ndarray) -> np.ndarray:
     """+1 or -1 for each bit of each hash."""
-    return ((hashes[:, None] >> _BITS) & U(1)).astype(np.int32) * 2 - 1
+    return ((hashes[:, None] >> _BITS) & U(1)).astype(np.int8) * np.int8(2) - np.int8(1)
 
 
 def simhashes(found: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     """SimHash of each run of ``width`` shingles; a shingle weighs as often as it occurs."""
     sums = np.zeros((len(found) + 1, 64), dtype=np.int32)
-    np.cumsum(bit_signs(mix(found)), axis=0, out=sums[1:])
+    np.cumsum(bit_signs(mix(found)), axis=0, dtype=np.int32, out=sums[1:])
     bits = (sums[starts + width] - sums[starts] > 0).astype(np.uint64)
     return (bits << _BITS).sum(axis=1, dtype=np.uint64)
 
@@ -130,18 +134,15 @@ class Benchmark:
             hits = hits[own[np.minimum(np.searchsorted(own, found[hits]), len(own) - 1)] == found[hits]]
             if len(hits) < need:
                 continue
-            # starts of windows that hold enough shingles of items of this length: each begins at or before its first hit
-            first = hits[: len(hits) - need + 1]
-            near = hits[need - 1 :] - first < width
-            if not near.any():
+            # starts of windows that hold enough shingles of items of this length
+            if not (hits[need - 1 :] - hits[: len(hits) - need + 1] < width).any():
                 continue
-            spread = np.unique((hits[need - 1 :][near][:, None] - np.arange(width)[None, :]).ravel())
-            starts = spread[(spread >= 0) & (spread <= len(found) - width)]
             total = np.zeros(len(found) + 1, dtype=np.int64)
             total[hits + 1] = 1
             total = np.cumsum(total)
-            starts = starts[total[starts + width] - total[starts] >= need]
-            for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
+            starts = np.flatnonzero(total[width:] - total[: len(total) - width] >= need)
+            runs = [part for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1) for part in np.split(run, range(PRINTS, len(run), PRINTS))]
+            for run in runs:
                 if not len(run):
                     continue
                 base = int(run[0])
@@ -154,29 +155,40 @@ class Benchmark:
         return [(i, *x) for i, x in sorted(out.items())]
 
 
-def slices(benchmark: DataFrame, rows: int = SLICE_ITEMS) -> list[list[tuple[int, str]]]:
-    """The items in lists of about ``rows``, by a hash of their id; null ids or texts are left out."""
-    items = pick(benchmark, item_id="bigint", text="string").where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+def slices(benchmark: DataFrame, rows: int = SLICE_ITEMS) -> Iterator[list[tuple[int | None, str]]]:
+    """The items in lists of about ``rows``, one list at a time, by a hash of id and text; null texts are left out."""
+    items = pick(benchmark, item_id="bigint", text="string").where("text IS NOT NULL").distinct()
     n = max(1, math.ceil(items.count() / rows))
-    out = []
     for i in range(n):
-        out.append(sorted((r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i).collect()))
-    return out
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()
+        yield sorted(((r.item_id, r.text) for r in part), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+
+
+_INDEXED: dict[str, Benchmark] = {}
+
+
+def indexed(name: str, held, similarity: float, radius: int) -> Benchmark:
+    """The broadcast items of this name, indexed once a Python worker, which holds one index."""
+    if name not in _INDEXED:
+        _INDEXED.clear()
+        _INDEXED[name] = Benchmark(held.value, similarity, radius)
+    return _INDEXED[name]
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, word_start, n_words, similarity): the best window of every item found in a document.
 
     Null and blank texts hold nothing; repeated rows and null ids of documents are searched like any other; items that
-    repeat under one id are one; other columns are ignored.  An empty benchmark finds nothing.
+    repeat under one id are one, those without an id too, and are reported with a null item_id; other columns are ignored.
+    An empty benchmark finds nothing.  Very long texts are searched whole, PRINTS sums at a time.
     """
     spark = ready(docs.sparkSession)
     out = None
     for items in slices(benchmark):
-        held = spark.sparkContext.broadcast(items)  # at most about SLICE_ITEMS items
+        held, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex  # at most about SLICE_ITEMS items
 
-        def run(batches, held=held):
-            bench = Benchmark(held.value, similarity, radius)
+        def run(batches, held=held, name=name):
+            bench = indexed(name, held, similarity, radius)
             for batch in batches:
                 rows = []
                 for doc, (words, _, _) in zip(batch.column(0).to_pylist(), document_words(batch.column(1), lower=True)):
@@ -190,16 +202,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs, all columns as they were, in whose text no item is found."""
+    """The rows of docs, all columns as they were, in whose text no item is found.
+
+    Null and blank texts stay; repeated rows fare alike; columns whose names clash are kept.
+    """
     spark = ready(docs.sparkSession)
-    at = docs.columns.index("text")
     for items in slices(benchmark):
-        held = spark.sparkContext.broadcast(items)
+        held, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
-        def run(batches, held=held):
-            bench = Benchmark(held.value, similarity, radius)
-            for batch in batches:
-                yield batch.filter(pa.array([not (len(words) and bench.groups and bench.search(words)) for words, _, _ in document_words(batch.column(at), lower=True)], pa.bool_()))
+        def keep(held=held, name=name):
+            bench = indexed(name, held, similarity, radius)
+            return lambda column: [not (len(words) and bench.groups and bench.search(words)) for words, _, _ in document_words(column, lower=True)]
 
-        docs = docs.mapInArrow(lean(run), docs.schema)
+        docs = only(docs, keep)
     return docs

@@ -8,9 +8,10 @@ relative entropy are ``min(cap, exp(multiplier * size / mean size))``.  The sour
 convex dual; all sources take their Newton steps together, each step one pre-aggregated sum over the
 histogram of (source, size), kept inside a bracket that halves whenever a step would leave it.
 
-Copies: a rate's whole part is taken; the fraction is rounded systematically along a hash order in buckets
-of bounded size, so a source's error is about one document; then documents of falling size
-change by one copy if that brings the source nearer.
+Copies: rows that repeat one another (source, doc_id and text) are one group, and copies are given to groups.  A rate's
+whole part is taken; the fraction is rounded systematically along a hash order of groups in buckets of bounded size, so a
+source's error is about one document; then groups of falling size change by some copies if that brings the source
+nearer.  A group's copies are dealt to its rows as evenly as they go.
 
 All sums are of integers, which do not depend on the order of addition, so reruns agree.
 """
@@ -22,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import cut, documents, ready
+from .runtime import cut, marked, ready
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -91,17 +92,9 @@ def multipliers(histogram: DataFrame, goals: DataFrame, cap: int = CAP) -> DataF
     return state.select("source", "mean", "m")
 
 
-def mix(docs: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """doc_id, source, mark (text hash), size, source_size, target, rate, copies, taken of every row.
-
-    size counts the words of the text (null: 0).  Documents without words have rate 1, one copy and take nothing.  Repeated
-    rows are rounded alike.  No copy count is over ``cap``.  Other columns are ignored; an empty table gives no rows.
-    """
-    ready(docs.sparkSession)
-    rows = documents(docs, **{source: "string"}).withColumnRenamed(source, "source")
-    rows = rows.select("doc_id", "source", F.xxhash64("text").alias("mark"), F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint").alias("size"))
-    rows = cut(rows.withColumn("place", F.xxhash64("doc_id", "mark")))
-    histogram = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
+def copies_of(groups: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """groups (source, place, doc_id, size, n rows) with source_size, target, rate and total, the copies of all its rows together."""
+    histogram = cut(groups.groupBy("source", "size").agg(F.sum("n").alias("n")))
     sources = cut(histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n_docs")))
     goals = targets(sources.select("source", "source_size"), weights, cap)
     goals = cut(goals.join(sources.select(F.col("source").alias("of"), "n_docs"), F.col("source").eqNullSafe(F.col("of"))).drop("of"))
@@ -110,30 +103,76 @@ def mix(docs: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIG
 
     # a multiplier at its bound is a source at its cap
     rate = F.when(F.col("size") == 0, 1.0).when(F.col("m") >= WIDEST, float(cap)).otherwise(F.least(F.lit(float(cap)), F.exp(F.least(F.col("m") * F.col("size") / F.col("mean"), F.lit(50.0)))))
-    rated = rows.join(per_source, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", F.round(rate, 8))
-    # systematic rounding: the running sum of fractional words passes a mark of the document's own size now and then
+    rated = groups.join(per_source, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", F.round(rate, 8))
+    # systematic rounding: the running sum of fractional copies passes whole numbers now and then
     bucket = F.pmod(F.xxhash64("place"), F.ceil(F.col("n_docs") / BUCKET))
-    part = rated.withColumn("bucket", bucket).withColumn("fraction", exact(F.col("rate") - F.floor("rate"), MICRO))
+    part = rated.withColumn("bucket", bucket).withColumn("fraction", F.col("n") * exact(F.col("rate") - F.floor("rate"), MICRO))
     klass = F.when(F.col("size") == 0, -1).otherwise(F.floor(F.log2(F.col("size"))))
     running = F.sum("fraction").over(Window.partitionBy("source", "bucket").orderBy(klass, "size", "place", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
     offset = F.pmod(F.xxhash64("source", "bucket"), F.lit(MICRO))
     part = part.withColumn("upto", running + offset)
-    up = F.floor(F.col("upto") / MICRO) > F.floor((F.col("upto") - F.col("fraction")) / MICRO)
-    rounded = cut(part.select("doc_id", "source", "mark", "place", "size", "source_size", "target", "rate", (F.floor("rate") + up.cast("int")).cast("bigint").alias("copies")))
+    up = F.floor(F.col("upto") / MICRO) - F.floor((F.col("upto") - F.col("fraction")) / MICRO)
+    rounded = cut(part.select("source", "place", "doc_id", "size", "n", "source_size", "target", "rate", (F.col("n") * F.floor("rate") + up).cast("bigint").alias("total")))
 
-    # last correction: a few documents of each size class, those with the smallest hash, may change by one copy
-    words = rounded.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("words"), F.max("target").alias("goal"))
-    choice = rounded.where("size > 0").groupBy("source", F.floor(F.log2("size")).alias("klass"), F.pmod("place", F.lit(CHOICES)).alias("k")).agg(F.min(F.struct("place", "doc_id", "size", "copies")).alias("c"))
-    choice = choice.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("c.size", "c.place", "c.doc_id", "c.copies")), asc=False).alias("choices"))  # at most CHOICES a class
+    # last correction: a few groups of each size class, those with the smallest hash, may change
+    words = rounded.groupBy("source").agg(F.sum(F.col("size") * F.col("total")).alias("words"), F.max("target").alias("goal"))
+    choice = rounded.where("size > 0").groupBy("source", F.floor(F.log2("size")).alias("klass"), F.pmod("place", F.lit(CHOICES)).alias("k")).agg(F.min(F.struct("place", "doc_id", "size", "n", "total")).alias("c"))
+    choice = choice.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("c.size", "c.place", "c.doc_id", "c.n", "c.total")), asc=False).alias("choices"))  # at most CHOICES a class
     start = F.struct((F.col("goal") - F.col("words")).alias("gap"), F.array().cast("array<struct<place: bigint, doc_id: bigint, change: bigint>>").alias("changes"))
 
     def step(a, c):
-        sign = F.when(a["gap"] > 0, 1).otherwise(-1).cast("bigint")
-        fits = (F.abs(a["gap"] - sign * c["size"]) < F.abs(a["gap"])) & (c["copies"] + sign >= 0) & (c["copies"] + sign <= cap)
-        done = F.struct((a["gap"] - sign * c["size"]).cast("double").alias("gap"), F.concat(a["changes"], F.array(F.struct(c["place"].alias("place"), c["doc_id"].alias("doc_id"), sign.alias("change")))).alias("changes"))
-        return F.when(fits, done).otherwise(a)
+        near = F.round(a["gap"] / c["size"]).cast("bigint")
+        change = F.greatest(-c["total"], F.least(cap * c["n"] - c["total"], near))
+        done = F.struct((a["gap"] - change * c["size"]).cast("double").alias("gap"), F.concat(a["changes"], F.array(F.struct(c["place"].alias("place"), c["doc_id"].alias("doc_id"), change.alias("change")))).alias("changes"))
+        return F.when(change != 0, done).otherwise(a)
 
     changes = choice.withColumnRenamed("source", "of").join(words, F.col("of").eqNullSafe(F.col("source"))).select("source", F.explode(F.aggregate("choices", start, step, lambda a: a["changes"])).alias("x")).select(F.col("source").alias("of"), F.col("x.place").alias("of_place"), F.col("x.doc_id").alias("of_doc"), "x.change")
     out = rounded.join(changes, F.col("source").eqNullSafe(F.col("of")) & (F.col("place") == F.col("of_place")) & F.col("doc_id").eqNullSafe(F.col("of_doc")), "left")
-    copies = F.col("copies") + F.coalesce("change", F.lit(0))
-    return out.select("doc_id", "source", "mark", "size", "source_size", "target", "rate", copies.cast("bigint").alias("copies"), (copies * F.col("size")).cast("bigint").alias("taken"))
+    return out.select("source", "place", "doc_id", "size", "n", "source_size", "target", "rate", (F.col("total") + F.coalesce("change", F.lit(0))).alias("total"))
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """rows with copies: of a group's ``total``, each of its ``n`` rows gets as many as any other, or one more.
+
+    Rows of a group are numbered by partition, then inside each, so no task gets a group whole.
+    """
+    even = rows.where((F.col("n") == 1) | (F.col("total") % F.col("n") == 0)).withColumn("copies", (F.col("total") / F.col("n")).cast("bigint"))
+    keys = ["source", "place", "doc_id"]
+    odd = rows.where("n > 1 AND total % n <> 0").withColumn("__part", F.spark_partition_id())
+    odd = cut(odd.withColumn("__at", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(F.lit(0)))))
+    held = odd.groupBy(*keys, "__part").agg(F.count("*").alias("held"))
+    before = held.withColumn("before", F.sum("held").over(Window.partitionBy(*keys).orderBy("__part")) - F.col("held"))
+    before = before.select(*(F.col(k).alias(f"in_{k}") for k in keys), F.col("__part").alias("in_part"), "before")
+    same = F.col("__part") == F.col("in_part")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"in_{k}"))
+    more = F.col("before") + F.col("__at") <= F.col("total") % F.col("n")
+    odd = odd.join(before, same).withColumn("copies", (F.floor(F.col("total") / F.col("n")) + more.cast("int")).cast("bigint"))
+    return even.unionByName(odd.select(*even.columns))
+
+
+ADDED = ("size", "source_size", "target", "rate", "copies", "taken")
+
+
+def mix(docs: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, whole: bool = False) -> DataFrame:
+    """doc_id, source, mark (text hash), size, source_size, target, rate, copies, taken of every row.
+
+    size counts the words of the text (null: 0).  Documents without words have rate 1, one copy and take nothing.  Rows that
+    repeat one another get as many copies, up to one.  No copy count is over ``cap``.  Other columns are ignored; an empty
+    table gives no rows.  With ``whole``: the rows with all columns of docs, besides those whose names clash with ADDED, and ADDED.
+    """
+    ready(docs.sparkSession)
+    rows, at = marked(docs)
+    rows = rows.withColumn("source", (F.lit(None) if at(source) is None else F.col(at(source))).cast("string"))
+    own = [(n, f"c{i}") for i, n in enumerate(docs.columns) if n.lower() not in ADDED] if whole else []
+    size = F.coalesce(F.regexp_count("__text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
+    rows = rows.select(F.col("__doc").alias("doc_id"), "source", F.col("__mark").alias("mark"), size.alias("size"), F.xxhash64("__doc", "__mark").alias("place"), *(c for _, c in own))
+    if not whole:
+        rows = cut(rows)
+    groups = cut(rows.groupBy("source", "place", "doc_id", "size").agg(F.count("*").alias("n")))
+    found = copies_of(groups, weights, cap).select(F.col("source").alias("of"), F.col("place").alias("of_place"), F.col("doc_id").alias("of_doc"), "n", "source_size", "target", "rate", "total")
+    same = (F.col("place") == F.col("of_place")) & F.col("doc_id").eqNullSafe(F.col("of_doc")) & F.col("source").eqNullSafe(F.col("of"))
+    out = dealt(rows.join(found, same)).withColumn("taken", F.col("copies") * F.col("size"))
+    if whole:
+        return out.select(*(c for _, c in own), *ADDED).toDF(*(n for n, _ in own), *ADDED)
+    return out.select("doc_id", "source", "mark", *ADDED)

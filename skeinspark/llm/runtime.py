@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +19,17 @@ ARROW_ROWS = 512
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Point checkpoints at the cluster's shared folder (a folder of our own only where none is configured) and size Arrow batches for long texts."""
+    """Point checkpoints at the cluster's shared folder and size Arrow batches for long texts.
+
+    Where none is configured, a folder of our own is taken on one machine (a local master); on a cluster, which would not
+    see it, that is an error.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skein-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="skein-checkpoint-"))
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
@@ -46,17 +55,46 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
     A column that the table lacks becomes null.
     """
-    names = df.columns
-    plain = df.toDF(*[f"c{i}" for i in range(len(names))])
-    chosen: list[Column] = []
-    for name, kind in columns.items():
-        at = next((i for i, n in enumerate(names) if n == name), None)
-        if at is None:
-            at = next((i for i, n in enumerate(names) if n.lower() == name.lower()), None)
-        chosen.append((F.lit(None) if at is None else F.col(f"c{at}")).cast(kind).alias(name))
+    plain, at = numbered(df)
+    chosen = [(F.lit(None) if at(name) is None else F.col(at(name))).cast(kind).alias(name) for name, kind in columns.items()]
     return plain.select(*chosen)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, Callable[[str], str | None]]:
+    """df with its columns named c0, c1, ..., and the new name of a column: the one of exactly that name, or equal to it up to case, or None."""
+    names = df.columns
+
+    def at(name: str) -> str | None:
+        exact = next((i for i, n in enumerate(names) if n == name), None)
+        if exact is None:
+            exact = next((i for i, n in enumerate(names) if n.lower() == name.lower()), None)
+        return None if exact is None else f"c{exact}"
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]), at
+
+
+def marked(df: DataFrame) -> tuple[DataFrame, Callable[[str], str | None]]:
+    """numbered(df) with __doc, __text and __mark besides: doc_id, text and the text's hash, as ``documents`` and ``mark`` have them."""
+    plain, at = numbered(df)
+    value = lambda name, kind: (F.lit(None) if at(name) is None else F.col(at(name))).cast(kind)
+    plain = plain.withColumns({"__doc": value("doc_id", "bigint"), "__text": value("text", "string")})
+    return plain.withColumn("__mark", F.xxhash64("__text")), at
+
+
+def only(df: DataFrame, keep: Callable[[], Callable[[pa.Array], list[bool]]]) -> DataFrame:
+    """The rows of df, all columns as they were, whose texts pass; keep() makes the test of a batch's texts in each task.  A missing text column is all null."""
+    plain, at = numbered(df)
+    place = -1 if at("text") is None else int(at("text")[1:])
+
+    def run(batches):
+        test = keep()
+        for batch in batches:
+            column = batch.column(place) if place >= 0 else pa.nulls(batch.num_rows, pa.string())
+            yield batch.filter(pa.array(test(column), pa.bool_()))
+
+    return plain.mapInArrow(lean(run), plain.schema).toDF(*df.columns)
+
+
 def documents(df: DataFrame, **more: str) -> DataFrame:
     return pick(df, doc_id="bigint", text="string", **more)
 
@@ -80,8 +118,6 @@ def lean(run):
     """run(batches) for mapInArrow, such that its worker keeps no memory between tasks."""
 
     def wrapped(batches):
-        import pyarrow as pa
-
         pa.set_memory_pool(pa.system_memory_pool())
         try:
             yield from run(batches)

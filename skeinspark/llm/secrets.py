@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import bounded, cut, documents, let, ready
+from .runtime import bounded, cut, documents, let, marked, ready
 
 #: Runs that are looked at, and labelled findings generated where none are given.
 RUN = r"[A-Za-z0-9_\-+/=.]{16,}"
@@ -169,18 +169,24 @@ def findings(docs: DataFrame, model: RandomForestClassificationModel, threshold:
 
 
 def redact(docs: DataFrame, model: RandomForestClassificationModel, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with every secret in the text replaced by MARK and, where there is such a column, n_chars brought up to date."""
-    found = findings(docs, model, threshold).where("is_secret").groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("candidate"), asc=False).alias("__secrets"))
-    found = bounded(cut(found.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), "__secrets")))
-    rows = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__mark")), "left")
-    text = F.when(F.col("__secrets").isNotNull(), F.aggregate("__secrets", docs["text"], lambda t, s: F.replace(t, s, F.lit(MARK)))).otherwise(docs["text"])
-    rows = rows.withColumn("__text", text)
+    """docs with every secret in the text replaced by MARK, the longest first, and, where there is such a column, n_chars brought up to date.
+
+    Null and empty texts stay as they are; repeated rows change alike; a text column is taken by its exact name, and columns
+    whose names clash with it are kept.
+    """
+    found = findings(docs, model, threshold).where("is_secret").groupBy("doc_id", "mark").agg(F.collect_set(F.struct(F.length("candidate").alias("n"), "candidate")).alias("found"))
+    longest_first = F.transform(F.sort_array("found", asc=False), lambda x: x["candidate"])
+    found = bounded(cut(found.select(F.col("doc_id").alias("of_doc"), F.col("mark").alias("of_mark"), longest_first.alias("__secrets"))))
+    rows, at = marked(docs)
+    rows = rows.join(found, F.col("__doc").eqNullSafe(F.col("of_doc")) & (F.col("__mark") == F.col("of_mark")), "left")
+    hit = F.col("__secrets").isNotNull()
+    rows = rows.withColumn("__new", F.when(hit, F.aggregate("__secrets", F.col("__text"), lambda t, s: F.replace(t, s, F.lit(MARK)))))
     out = []
-    for c in docs.columns:
-        if c == "text":
-            out.append(F.col("__text").alias("text"))
-        elif c == "n_chars":
-            out.append(F.when(F.col("__secrets").isNotNull(), F.length("__text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")).alias("n_chars"))
-        else:
-            out.append(F.col(c))
-    return rows.select(*out)
+    for i, field in enumerate(docs.schema.fields):
+        c = F.col(f"c{i}")
+        if f"c{i}" == at("text"):
+            c = F.when(hit, F.col("__new").cast(field.dataType)).otherwise(c)
+        elif f"c{i}" == at("n_chars"):
+            c = F.when(hit, F.length("__new").cast(field.dataType)).otherwise(c)
+        out.append(c.alias(f"c{i}"))
+    return rows.select(*out).toDF(*docs.columns)

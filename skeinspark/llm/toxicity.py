@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import documents, held_out, lean, pick, ready, trim
+from .runtime import documents, held_out, lean, only, pick, ready, trim
 
 FIT_ROWS = 10_000
 #: Prior observations for each one seen, smallest z of a scoring token, cost of each token, smallest share of toxic tokens that a scoring token has.
@@ -233,14 +233,9 @@ def passages(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, all columns as they were, whose text scores below the threshold."""
-    spark = ready(docs.sparkSession)
-    held = spark.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    """The rows of docs, all columns as they were, whose text scores below the threshold.
 
-    def run(batches):
-        model = held.value
-        for batch in batches:
-            yield batch.filter(pa.array([model.score(x.as_py()) < threshold for x in batch.column(at)], pa.bool_()))
-
-    return docs.mapInArrow(lean(run), docs.schema)
+    Null and empty texts score as texts without evidence; repeated rows fare alike; columns whose names clash are kept.
+    """
+    held = ready(docs.sparkSession).sparkContext.broadcast(model)
+    return only(docs, lambda: lambda column: [held.value.score(x.as_py()) < threshold for x in column])
