@@ -9,11 +9,20 @@ boundary emit both, as they may link with heavy ones.  The boundary is the size
 subsets and lists is least.  A fixed-size table of counters, filled from all documents, tells rare
 from common; it decides only the order and the cost, never the result.
 
-Candidates.  A list never becomes all its pairs: each task, then each bucket, ties the members of a list to
-the member with the smallest class number.  Stars are verified and components built; only members of lists
-that still span several components are compared, across components and in blocks, so no list is in one task.  A sketch of parities, a lower
-bound of the difference, rules most candidates out; the texts of the others are read again and whole sets
-intersected.
+Candidates.  A list never becomes all its pairs.  Rounds, each on lists that still span several components only:
+
+1. each task, then each bucket, ties the members of a list to the member with the smallest class number;
+2. as long as comparing in blocks would cost more than WIDE rows an entry, members are tied to another hub, one of
+   small hash, if they are not in its component;
+3. members are compared across components, but of the candidates a task finds only those go on that tie
+   components it has not tied yet, so a list gives fewer candidates than it has members;
+4. in the lists where round 3 found or passed over a candidate, all that are left across components go on.
+
+After each round candidates are verified and components merged.  In rounds 3 and 4 the members outside a list's
+largest component meet all members, in blocks, so no list is in one task and its largest component is not compared
+with itself.  A sketch of parities, a lower bound of the difference, rules most candidates out; the texts of the
+others are read again and whole sets intersected.  Rounds 3 and 4 leave out only pairs that the sketch rules out or
+that are in one component already, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -28,15 +37,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .runtime import bounded, cut, documents, lean, ready, trim
+from .runtime import BROADCAST_ROWS, bounded, cut, documents, lean, ready, trim
 from .textnp import U, document_words, mix, shingles, signed, unsigned, whole
 
 #: Counters of the frequency table, in SLICES of a row each.
 COUNTERS, SLICES = 1 << 22, 64
 #: Signatures that a task gathers before it ties them, and that a bucket gets.
 FLUSH, BUCKET = 600_000, 300_000
-#: Members of a block of a list that spans components, and such members that a task gets at a time.
+#: Members of a block of a list that spans components, rows of blocks that a task gets.
 BLOCK, MEET = 1024, 50_000
+#: Rows of blocks for each entry beyond which members are tied to hubs first, and rounds of that at most.
+WIDE, HUBS = 8, 16
 #: Least bits of the parity sketch that rules candidates out before whole sets are read.
 PARITIES = 1024
 
@@ -132,6 +143,7 @@ def tie(sig: np.ndarray, cls: np.ndarray, size: np.ndarray) -> tuple[np.ndarray,
 
 
 STAR = "sig bigint, a bigint, b bigint, na bigint, nb bigint"
+PAIR = "a bigint, b bigint, na bigint, nb bigint, ra bigint, rb bigint"
 
 
 def _stars(sig, cls, size, first, member) -> dict:
@@ -174,28 +186,29 @@ class Join:
                 if part.any():
                     yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([None], pa.int64()) for _ in range(4)), *(pa.array([None], pa.list_(pa.int64())) for _ in range(2)), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=names)
 
+        names = ["slice", "doc_id", "mark", "n", "cls", "bits", "brief", "blob"]
+        both = cut(self.docs.select("doc_id", "text", "mark").mapInArrow(lean(run), "slice int, doc_id bigint, mark bigint, n bigint, cls bigint, bits array<bigint>, brief array<bigint>, blob binary"))
+        members = both.where("slice < 0").select("doc_id", "mark", "n", "cls", "bits", "brief")
+        total = members.agg(F.sum("n")).first()[0] or 0
+        mean = total / COUNTERS
+
         def add(batches):
             sums: dict[int, np.ndarray] = {}
             for batch in batches:
                 for i, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    part = np.frombuffer(zlib.decompress(blob.as_py()), dtype=np.uint32).astype(np.int64)
-                    sums[i] = sums.get(i, 0) + part
+                    sums[i] = sums.get(i, 0) + np.frombuffer(zlib.decompress(blob.as_py()), dtype=np.uint32).astype(np.int64)
             for i, part in sums.items():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["slice", "blob"])
-
-        names = ["slice", "doc_id", "mark", "n", "cls", "bits", "brief", "blob"]
-        both = cut(self.docs.select("doc_id", "text", "mark").mapInArrow(lean(run), "slice int, doc_id bigint, mark bigint, n bigint, cls bigint, bits array<bigint>, brief array<bigint>, blob binary"))
-        counts = np.zeros((SLICES, COUNTERS // SLICES), dtype=np.int64)
-        for r in both.where("slice >= 0").select("slice", "blob").repartition(8, "slice").mapInArrow(lean(add), "slice int, blob binary").groupBy("slice").agg(F.collect_list("blob").alias("blobs")).collect():
-            for blob in r.blobs:  # one: a slice is in one partition; the table is 32 MB at any size of input
-                counts[r.slice] += np.frombuffer(zlib.decompress(blob), dtype=np.int64)
-        counts = counts.reshape(-1)
-        total = int(counts.sum())
-        mean = total / COUNTERS
-        clear = counts > mean + 4 * mean**0.5 + 2
-        level = np.where(clear, np.minimum(np.log2(np.maximum(counts, 1)).astype(np.int64), 62), 0).astype(np.uint8)
-        beyond = (float((counts.astype(np.float64) ** 2).sum()) - total * mean - total) / max(1, total)
-        return both.where("slice < 0").select("doc_id", "mark", "n", "cls", "bits", "brief"), level, min(64.0, max(1.0, 1.0 + beyond))
+                clear = part > mean + 4 * mean**0.5 + 2
+                level = np.where(clear, np.minimum(np.log2(np.maximum(part, 1)).astype(np.int64), 62), 0).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([level.tobytes()], pa.binary()), pa.array([float((part.astype(np.float64) ** 2).sum())], pa.float64())], names=["slice", "level", "squares"])
+
+        level, squares = np.zeros((SLICES, COUNTERS // SLICES), dtype=np.uint8), 0.0
+        # a slice's tables meet in one partition and become one row: 4 MB reach the driver at any size of input
+        for r in both.where("slice >= 0").select("slice", "blob").repartition(8, "slice").mapInArrow(lean(add), "slice int, level binary, squares double").collect():
+            level[r.slice] = np.frombuffer(r.level, dtype=np.uint8)
+            squares += r.squares
+        beyond = (squares - total * mean - total) / max(1, total)
+        return members, level.reshape(-1), min(64.0, max(1.0, 1.0 + beyond))
 
     def stars(self, plan: Plan, level: np.ndarray, n_buckets: int) -> DataFrame:
         """(sig, a, b, na, nb): every list with two classes or more, tied to its smallest ones."""
@@ -273,68 +286,113 @@ class Join:
         rows = self.docs.select("text").mapInArrow(lean(run), "bucket bigint, kind int, blob binary")
         return rows.groupBy("bucket").applyInArrow(meet, STAR)
 
-    def across(self, entries: DataFrame, classes: DataFrame) -> DataFrame:
-        """Distinct pairs (a, b, na, nb) of entries (sig, c, n, root) that share a signature, have different roots and sizes that
-        fit, and whose parities do not rule them out.
-
-        A long list is cut into blocks of BLOCK members, and each two blocks meet in some task, so no task gets a whole list and
-        rows are BLOCK times fewer than pairs.
+    def hubs(self, entries: DataFrame, number: int) -> DataFrame:
+        """Pairs (a, b, na, nb, ra, rb) of each list's members with the member of the smallest hash, across components."""
+        one = F.min(F.struct(F.xxhash64("c", F.lit(number)).alias("h"), F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("root").alias("r2"))).alias("hub")
+        hub = bounded(cut(entries.groupBy("sig").agg(one).select(F.col("sig").alias("of_sig"), "hub.c2", "hub.n2", "hub.r2")))
+        fits = 100 * F.least("n", "n2") >= self.percent * F.greatest("n", "n2")
+        rows = entries.join(hub, F.col("sig") == F.col("of_sig")).where((F.col("root") != F.col("r2")) & fits)
+        first = F.col("c") < F.col("c2")
+        pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
+        return rows.select(pick("c", "c2").alias("a"), pick("c2", "c").alias("b"), pick("n", "n2").alias("na"), pick("n2", "n").alias("nb"), pick("root", "r2").alias("ra"), pick("r2", "root").alias("rb"))
+
+    def layout(self, entries: DataFrame) -> tuple[DataFrame, int, int]:
+        """Each list's largest component and blocks, the entries, and the rows that its blocks get."""
+        by_root = entries.groupBy("sig", "root").agg(F.count("*").alias("m"))
+        size = by_root.groupBy("sig").agg(F.sum("m").alias("m"), F.max(F.struct("m", "root")).alias("top"))
+        rest = F.col("m") - F.col("top.m")
+        size = cut(size.select(F.col("sig").alias("of_sig"), F.col("top.root").alias("top"), "m", rest.alias("rest"), F.ceil(F.col("m") / BLOCK).cast("int").alias("lefts"), F.ceil(rest / BLOCK).cast("int").alias("rights")))
+        total, work = size.agg(F.sum("m"), F.sum(F.col("m") * F.col("rights") + F.col("rest") * F.col("lefts"))).first()
+        return size, total or 0, work or 0
+
+    def across(self, entries: DataFrame, size: DataFrame, work: int, classes: DataFrame, forest: bool) -> DataFrame:
+        """Pairs (a, b, na, nb, ra, rb) of entries (sig, c, n, root) that share a signature, have different roots and
+        sizes that fit, and whose parities do not rule them out; with ``forest`` only those that tie roots not yet tied in
+        a task, and besides, in rows without a pair, the sig of each list with a candidate.
+
+        A list's members are its left side, those outside its largest component its right side.  Both are cut into blocks
+        of BLOCK members, and each left block meets each right block in some task.  A pair of two right members is looked
+        at where the one with the smaller class is on the left.
         """
         percent = self.percent
-        size = entries.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).toDF("of_sig", "blocks")
-        rows = entries.join(size, F.col("sig") == F.col("of_sig")).join(classes.select(F.col("cls").alias("c"), F.col("brief").alias("bits")), "c")
-        block = F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")
-        meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(block, o).alias("x"), F.greatest(block, o).alias("y")))
-        rows = rows.select("sig", "c", "n", "root", "bits", block.alias("block"), F.explode(meets).alias("meet"))
-        keys = max(1, int(entries.count() / MEET) + 1)
-        rows = rows.select(F.pmod(F.xxhash64("sig", "meet"), F.lit(keys)).alias("key"), "sig", F.col("meet.x").alias("x"), F.col("meet.y").alias("y"), "c", "n", "root", "bits", "block")
+        keys = work // MEET + 1
+        rows = entries.join(bounded(size), F.col("sig") == F.col("of_sig"))
+        own = lambda blocks: F.pmod(F.xxhash64("c"), F.col(blocks)).cast("int")
+        all_of = lambda blocks: F.sequence(F.lit(0), F.col(blocks) - 1)
+        left = F.transform(all_of("rights"), lambda o: F.struct(own("lefts").alias("x"), o.alias("y"), F.lit(0).alias("side")))
+        right = F.transform(all_of("lefts"), lambda o: F.struct(o.alias("x"), own("rights").alias("y"), F.lit(1).alias("side")))
+        rows = rows.withColumn("outer", F.col("root") != F.col("top"))
+        rows = rows.select("sig", "c", "n", "root", "outer", F.explode(F.when(F.col("outer"), F.concat(left, right)).otherwise(left)).alias("at"))
+        rows = rows.join(classes.select(F.col("cls").alias("c"), F.col("brief").alias("bits")), "c")
+        rows = rows.select(F.pmod(F.xxhash64("sig", "at.x", "at.y"), F.lit(keys)).alias("key"), "sig", "at.x", "at.y", "at.side", "c", "n", "root", "outer", "bits")
 
         def meet(part: pa.Table) -> pa.Table:
-            sig, x, y, c, n, root, block = (part.column(k).to_numpy() for k in ("sig", "x", "y", "c", "n", "root", "block"))
+            sig, x, y, side, c, n, root, outer = (part.column(k).to_numpy() for k in ("sig", "x", "y", "side", "c", "n", "root", "outer"))
             bits = part.column("bits").combine_chunks().flatten().to_numpy().view(U).reshape(len(c), -1)
-            order = np.lexsort((block, y, x, sig))
+            label = np.unique(root, return_inverse=True)[1]  # of components that candidates tie, in a forest
+            of = label.copy()
+            order = np.lexsort((side, y, x, sig))
             group = np.concatenate(([0], np.flatnonzero((np.diff(sig[order]) != 0) | (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0)) + 1, [len(c)]))
-            found = []
+            first, second, again = [], [], []
             for lo, hi in zip(group[:-1].tolist(), group[1:].tolist()):
                 at = order[lo:hi]
-                first = at[: np.count_nonzero(block[at] == x[at[0]])]
-                same = x[at[0]] == y[at[0]]
-                second = at if same else at[len(first) :]
-                for i in range(0, len(first), 256):
-                    left = first[i : i + 256]
-                    right = second[i:] if same else second
-                    fits = (root[left][:, None] != root[right]) & (100 * np.minimum(n[left][:, None], n[right]) >= percent * np.maximum(n[left][:, None], n[right]))
-                    p, q = np.nonzero(fits)
-                    p, q = left[p], right[q]
-                    for j in range(0, len(p), 100_000):
-                        u, v = p[j : j + 100_000], q[j : j + 100_000]
-                        differ = np.bitwise_count(bits[u] ^ bits[v]).sum(axis=1, dtype=np.int64)
-                        ok = ((100 + percent) * differ <= (100 - percent) * (n[u] + n[v])) & (c[u] != c[v])
-                        u, v = u[ok], v[ok]
-                        swap = c[u] > c[v]
-                        found.append(np.stack((np.where(swap, c[v], c[u]), np.where(swap, c[u], c[v]), np.where(swap, n[v], n[u]), np.where(swap, n[u], n[v]))))
-            out = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((4, 0), np.int64)
+                split = np.count_nonzero(side[at] == 0)
+                lefts, rights, open_list = at[:split], at[split:], False
+                for i in lefts.tolist():
+                    ok = root[rights] != root[i]
+                    if forest:
+                        tied = ok & (label[of[rights]] == label[of[i]])
+                        open_list |= bool(tied.any())
+                        ok &= ~tied
+                    j = rights[ok & (100 * np.minimum(n[rights], n[i]) >= percent * np.maximum(n[rights], n[i]))]
+                    if outer[i]:
+                        j = j[c[j] > c[i]]
+                    if not len(j):
+                        continue
+                    differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                    j = j[(100 + percent) * differ <= (100 - percent) * (n[j] + n[i])]
+                    if forest and len(j):
+                        tied, once = np.unique(label[of[j]], return_index=True)
+                        j = j[once]
+                        label[np.isin(label, tied)] = label[of[i]]
+                    if len(j):
+                        open_list = True
+                        first.append(np.full(len(j), i))
+                        second.append(j)
+                if forest and open_list:
+                    again.append(sig[at[0]])
+            u, v = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (first, second))
+            swap = c[u] > c[v]
+            u, v = np.where(swap, v, u), np.where(swap, u, v)
+            once = np.unique(np.stack((c[u], c[v])), axis=1, return_index=True)[1] if len(u) else u
+            u, v = u[once], v[once]
             trim()
-            return pa.table({k: pa.array(np.ascontiguousarray(v)) for k, v in zip(("a", "b", "na", "nb"), out)})
+            again = np.unique(np.array(again, dtype=np.int64))
+            columns = {k: pa.array(np.concatenate((x, again)), mask=np.arange(len(x) + len(again)) >= len(x)) for k, x in (("a", c[u]), ("b", c[v]), ("na", n[u]), ("nb", n[v]), ("ra", root[u]), ("rb", root[v]))}
+            return pa.table(columns | {"sig": pa.array(np.concatenate((c[u], again)), mask=np.arange(len(u) + len(again)) < len(u))})
 
-        return rows.groupBy("key").applyInArrow(meet, "a bigint, b bigint, na bigint, nb bigint").distinct()
+        return rows.groupBy("key").applyInArrow(meet, f"{PAIR}, sig bigint")
 
-    def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """pairs (a, b) with ``linked``.
+    def linked(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The pairs (a, b, na, nb, ra, rb) that link, as (ra, rb).
 
         Parities give a lower bound of how many shingles a pair differs in, and rule out pairs that differ in too many;
         the sets of the others are read again from one document of each class and intersected.
         """
         k, percent = self.k, self.percent
-        every = pairs
-        sketch = classes.select("cls", "bits")
+        pairs = cut(pairs.distinct())
+        nodes = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("need")).distinct()
+        known = classes
+        if pairs.limit(BROADCAST_ROWS // 2 + 1).count() <= BROADCAST_ROWS // 2:
+            known = classes.join(F.broadcast(nodes(pairs)), F.col("cls") == F.col("need"), "left_semi")
+        sketch = known.select("cls", "bits")
         pairs = pairs.join(sketch.toDF("a", "bits_a"), "a").join(sketch.toDF("b", "bits_b"), "b")
         half = lambda x: F.zip_with(F.slice(x, 1, (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, F.size(x)), lambda u, v: u.bitwiseXOR(v))
         a, b = F.col("bits_a"), F.col("bits_b")  # sizes that fit differ by less than 2, so at most one is halved
         a, b = F.when(F.size(a) > F.size(b), half(a)).otherwise(a), F.when(F.size(b) > F.size(a), half(b)).otherwise(b)
         differ = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-        pairs = cut(pairs.where((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb"))
-        wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct().join(classes, "cls").select("cls", F.col("doc_id").alias("of_doc"), F.col("mark").alias("of_mark"))
+        pairs = cut(pairs.where((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb", "ra", "rb"))
+        wanted = classes.join(bounded(cut(nodes(pairs))), F.col("cls") == F.col("need"), "left_semi").select("cls", F.col("doc_id").alias("of_doc"), F.col("mark").alias("of_mark"))
         wanted = bounded(cut(wanted))
 
         def run(batches):
@@ -343,12 +401,10 @@ class Join:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([signed(x) for x in sets], pa.list_(pa.int64()))], names=["cls", "found"])
 
         texts = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("mark") == F.col("of_mark"))).select("cls", "text")
-        sets = texts.mapInArrow(lean(run), "cls bigint, found array<bigint>")
-        joined = pairs.join(sets.toDF("b", "found_b"), "b")
-        whole_pairs = joined.join(sets.toDF("a", "found_a"), "a")
+        sets = texts.mapInArrow(lean(run), "cls bigint, found array<bigint>").dropDuplicates(["cls"])  # rows may repeat a doc_id and a text
+        whole_pairs = pairs.join(sets.toDF("b", "found_b"), "b").join(sets.toDF("a", "found_a"), "a")
         inter = F.size(F.array_intersect("found_a", "found_b"))
-        linked = whole_pairs.where(100 * inter >= percent * (F.col("na") + F.col("nb") - inter)).select("a", "b").distinct().withColumn("linked", F.lit(True))
-        return every.select("a", "b").join(linked, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked"))
+        return whole_pairs.where(100 * inter >= percent * (F.col("na") + F.col("nb") - inter)).select("ra", "rb")
 
     def run(self) -> DataFrame:
         members, level, penalty = self.members()
@@ -360,22 +416,45 @@ class Join:
         total = sum(n * plan.cost(s, 1.0) for s, n in sizes.items())
         stars = cut(self.stars(plan, level, max(8, int(total / BUCKET) + 1)))
         fits = 100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")
-        near = stars.where(fits).select("a", "b", "na", "nb").distinct()
-        seen = cut(self.verified(near, classes))
-        links = seen.where("linked").select("a", "b")
-        roots = components(links)
-        # lists that still span several components: their members are compared across components, in blocks
+        near = stars.where(fits).select("a", "b", "na", "nb", F.col("a").alias("ra"), F.col("b").alias("rb"))
+        roots = components(self.linked(near, classes).toDF("a", "b"))
+        # lists that still span several components
         rooted = self._rooted(self._rooted(stars, roots, "a"), roots, "b")
         open_sigs = bounded(cut(rooted.where("root_a <> root_b").select("sig").distinct()))
         entries = rooted.join(open_sigs, "sig", "left_semi")
-        entries = entries.select("sig", F.col("a").alias("c"), F.col("na").alias("n"), F.col("root_a").alias("root")).union(entries.select("sig", "b", "nb", "root_b")).distinct()
-        rest = cut(self.across(cut(entries), classes).join(seen, ["a", "b"], "left_anti"))
-        if not rest.isEmpty():
-            links = links.unionByName(self.verified(rest, classes).where("linked").select("a", "b"))
-            roots = components(links)
-        owned = self._rooted(classes.select("cls", "none", "doc_id", "mark"), roots, "cls")
-        least = owned.groupBy("root_cls").agg(F.min(F.struct("none", "doc_id", "mark")).alias("least")).withColumnRenamed("root_cls", "root")
-        found = owned.join(least, F.col("root_cls") == F.col("root")).select("cls", F.col("least.doc_id").alias("component_id"), F.col("least.mark").alias("component_mark"))
+        entries = cut(entries.select("sig", F.col("a").alias("c"), F.col("na").alias("n"), F.col("root_a").alias("root")).union(entries.select("sig", "b", "nb", "root_b")).distinct())
+        steps = [roots]
+
+        def merge(pairs: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+            """The entries, of these lists only, that are still open after the pairs' links."""
+            steps.append(components(self.linked(pairs, classes).toDF("a", "b")))
+            rows = entries if lists is None else entries.join(bounded(lists), F.col("sig") == F.col("of_sig"), "left_semi")
+            rows = self._rooted(rows.withColumnRenamed("root", "was"), steps[-1], "was").withColumnRenamed("root_was", "root").drop("was")
+            still = bounded(cut(rows.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("sig")))
+            return cut(rows.join(still, "sig", "left_semi").select("sig", "c", "n", "root"))
+
+        size, count, work = self.layout(entries)
+        for number in range(HUBS):
+            if work <= WIDE * count:
+                break
+            before = work
+            entries = merge(self.hubs(entries, number))
+            size, count, work = self.layout(entries)
+            if work > 0.9 * before:
+                break
+        if count:
+            found = cut(self.across(entries, size, work, classes, forest=True))
+            entries = merge(found.where("sig IS NULL").drop("sig"), cut(found.where("sig IS NOT NULL").select(F.col("sig").alias("of_sig")).distinct()))
+            size, count, work = self.layout(entries)
+        if count:
+            steps.append(components(self.linked(self.across(entries, size, work, classes, forest=False).drop("sig"), classes).toDF("a", "b")))
+        owned = classes.select("cls", "none", "doc_id", "mark").withColumn("root", F.col("cls"))
+        for step in steps:
+            owned = self._rooted(owned.withColumnRenamed("root", "was"), step, "was").withColumnRenamed("root_was", "root").drop("was")
+        owned = cut(owned)
+        least = owned.groupBy("root").agg(F.min(F.struct("none", "doc_id", "mark")).alias("least"), F.count("*").alias("classes")).where("classes > 1").select(F.col("root").alias("of"), "least")
+        found = owned.join(bounded(cut(least)), F.col("root") == F.col("of"), "left")
+        found = found.select("cls", F.coalesce("least.doc_id", F.when(F.col("least").isNull(), F.col("doc_id"))).alias("component_id"), F.coalesce("least.mark", "mark").alias("component_mark"))
         own = lambda first, column: F.when(F.col("n") > 0, F.col(first)).otherwise(F.col(column)).alias(first)
         return members.join(found, "cls", "left").select("doc_id", "mark", F.col("n").alias("n_shingles"), own("component_id", "doc_id"), own("component_mark", "mark"))
 

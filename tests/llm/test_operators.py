@@ -150,6 +150,39 @@ def test_leaks_match_brute_force(spark):
     assert found == wanted and wanted
 
 
+@pytest.mark.parametrize("length", [13, 20, 40, 100, 300])
+@pytest.mark.parametrize("kind", ["tail", "insert", "delete", "scatter"])
+def test_recall_near_the_threshold(length, kind):
+    """Items of each length, changed as far as the similarity allows, inside longer texts: nearly all are found."""
+    rng = random.Random(f"{length} {kind}")
+    items = [(i, words(rng, length, 10**6)) for i in range(60)]
+    bench, found, wanted = decontamination.Benchmark(items), 0, 0
+    for i, text in items:
+        w = text.split()
+        best = None
+        for n in range(1, length):  # the largest change that keeps a window of the item's size similar enough
+            v = list(w)
+            if kind == "tail":
+                v[length - n :] = [f"t{x}" for x in range(n)]
+            elif kind == "delete":
+                v[length // 2 : length // 2 + n] = []
+            else:
+                for x in range(n):
+                    at = rng.randrange(1, len(v))
+                    v[at : at + (kind == "scatter")] = [f"t{x}"]
+            around = words(rng, 200, 10**6).split() + v + words(rng, 200, 10**6).split()
+            hashes = next(textnp.document_words(pa.array([" ".join(around)]), lower=True))[0]
+            item = textnp.shingles(next(textnp.document_words(pa.array([text]), lower=True))[0], 5)
+            every = textnp.shingles(hashes, 5)
+            if max(decontamination.weighted_jaccard(every[s : s + len(item)], item) for s in range(190, 215)) < 0.8:
+                break
+            best = hashes
+        if best is not None:
+            wanted += 1
+            found += any(x[0] == i for x in bench.search(best))
+    assert found >= 0.95 * wanted, (found, wanted)
+
+
 def test_leaks_edges(spark):
     empty = spark.createDataFrame([], "item_id bigint, text string")
     assert decontamination.leaks(odd(spark), empty).count() == 0
@@ -308,9 +341,12 @@ def test_groups(spark, k, percent):
 def test_groups_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(similarity, "BLOCK", 7)
     monkeypatch.setattr(similarity, "MEET", 40)
+    monkeypatch.setattr(similarity, "WIDE", 0)  # hubs first
+    monkeypatch.setattr(components, "HELD", 5)
     rng = random.Random(11)
-    texts = family(rng, 40, 100, 9) + family(rng, 40, 150, 4)
-    got = {r.doc_id: r.component_id for r in similarity.groups(frame(spark, texts), 3, 90).collect()}
+    texts = family(rng, 40, 100, 9) + family(rng, 40, 150, 4) + [words(rng, 40)] * 3
+    rows = frame(spark, texts).union(frame(spark, texts[:20]))  # rows that repeat another
+    got = {r.doc_id: r.component_id for r in similarity.groups(rows, 3, 90).collect()}
     assert [got[i] for i in range(len(texts))] == brute.groups(list(range(len(texts))), texts, 3, 90)
 
 
@@ -335,7 +371,9 @@ def test_parities_bound_the_difference():
         assert differ <= len(np.setxor1d(a, b))
 
 
-def test_components(spark):
+@pytest.mark.parametrize("held", [4, 10**6])
+def test_components(spark, monkeypatch, held):
+    monkeypatch.setattr(components, "HELD", held)
     rng = random.Random(8)
     links = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 20)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(7, 7)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
@@ -386,6 +424,25 @@ def test_mix(spark, counts):
         assert abs(target[s] - want) < 1e-6 * want + 1e-6 and abs(taken[s] - want) <= max(0.02 * want, 5)
 
 
+@pytest.mark.parametrize("documents", [1, 4, 40])
+def test_mix_of_repeated_rows(spark, documents):
+    rows = [(i % documents, " ".join(f"w{i % documents}" for _ in range(10)), ("a", "b", "c")[i % documents % 3]) for i in range(25 * documents)] + [(None, "x y z", "d")] * 31
+    got, again = (sorted((str(r.doc_id), r.copies, r.taken, r.target, str(r.source)) for r in mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(n)).collect()) for n in (3, 5))
+    assert got == again and len(got) == len(rows) and all(0 <= c <= 3 for _, c, *_ in got)
+    by_id, taken, target = {}, {}, {}
+    for d, c, t, goal, s in got:
+        by_id.setdefault((d, s), []).append(c)
+        taken[s], target[s] = taken.get(s, 0) + t, goal
+    assert all(max(c) - min(c) <= 1 for c in by_id.values())
+    assert all(abs(taken[s] - target[s]) <= 10 for s in taken), (taken, target)
+
+
+def test_mix_of_whole_rows(spark):
+    rows = odd(spark).selectExpr("*", "9 AS taken")
+    out = mixing.mix(rows, whole=True)
+    assert out.columns == [c for c in rows.columns if c != "taken"] + list(mixing.ADDED) and len(out.collect()) == 8
+
+
 def test_mix_edges(spark):
     rows = mixing.mix(odd(spark)).collect()
     assert len(rows) == 8 and all(r.taken <= 3 * r["size"] for r in rows)
@@ -421,6 +478,12 @@ def test_every_run_of_a_word_is_a_candidate(spark, forest):
     assert not any(key in t for t in out.values()) and commit in out[2]
 
 
+def test_longer_secrets_go_first(spark, forest):
+    a, b = hashlib.sha1(b"a").hexdigest(), hashlib.sha1(b"b").hexdigest()
+    text = f'token = "{a}" and secret = "{a}{b}" and key = "{b}"'
+    assert secrets.redact(frame(spark, [text]), forest).first().text == 'token = "[SECRET]" and secret = "[SECRET]" and key = "[SECRET]"'
+
+
 def test_forest_on_findings_it_has_not_seen(spark, forest):
     from pyspark.ml.feature import VectorAssembler
 
