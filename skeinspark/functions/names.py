@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import col
@@ -95,6 +95,21 @@ def derived_name(base: str, modifier: str) -> str:
     return base + tail
 
 
+def derived(name: Column | str, modifier: str) -> Column:
+    """derived_name as a Column."""
+    base, tail = col(name), f"__{modifier}"
+    cut = F.substring(base, 1, MAX_FEATURE_NAME - len(tail))
+    at_separator = F.regexp_replace(cut, "(?s)(?<=.)__(?:(?!__).)*$", "")
+    return F.concat(F.when(F.length(base) + len(tail) <= MAX_FEATURE_NAME, base).otherwise(at_separator), F.lit(tail))
+
+
+def metric_feature_names(families: DataFrame) -> DataFrame:
+    """family, aggregation, feature of families (family, type): a name for each aggregation of the type; unknown types are gauges."""
+    kind = F.when(F.col("type").isin(*TYPE_AGGREGATIONS), F.col("type")).otherwise("gauge")
+    wanted = F.element_at(F.create_map(*[x for k, v in TYPE_AGGREGATIONS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))]), kind)
+    return families.select("family", F.explode(wanted).alias("aggregation")).select("family", "aggregation", F.concat_ws("__", "family", "aggregation").alias("feature"))
+
+
 def names_for_metric(family: str, kind: str, label_values: dict[str, list[str]] | None = None) -> list[str]:
     """All feature names of a metric: its type's aggregations times every combination of label values."""
     combos = [dict(zip(label_values, v)) for v in product(*label_values.values())] if label_values else [{}]

@@ -21,7 +21,7 @@ RULES: tuple[tuple[str, str], ...] = (
     (r"(?<=/)[a-zA-Z0-9_-]{20,}(?=/|$)", "{slug}"),
 )
 JOINED = (r"/\{([^}]+)\}/\{([^}]+)\}", "/{$1_$2}")
-#: Rules of whole segments for templates.
+# Rules of whole segments for templates.
 SEGMENTS = ((r"^\d+$", "{id}"), (r"^[a-fA-F0-9]{8,}$", "{hex_id}"), (r"^[a-zA-Z0-9_-]{20,}$", "{slug}"))
 
 

@@ -23,6 +23,9 @@ LOG_RULES = (
 )
 
 
+STEP = r"^(\d+(?:\.\d+)?)\s*(ms|s|m|h|d|w)?$"
+
+
 def step_seconds(step: str | float, otherwise: float = 60) -> float:
     """Seconds of 60, "60s", "5m", "1h", "1d"."""
     if not isinstance(step, str):
@@ -31,6 +34,16 @@ def step_seconds(step: str | float, otherwise: float = 60) -> float:
     return float(found[1]) * UNITS[found[2] or "s"] if found else otherwise
 
 
+def step_seconds_of(step: Column | str, otherwise: float = 60) -> Column:
+    """step_seconds as a Column."""
+    text = F.trim(col(step))
+    number, unit = F.regexp_extract(text, STEP, 1), F.regexp_extract(text, STEP, 2)
+    scale = F.lit(1.0)
+    for name, seconds in UNITS.items():
+        scale = F.when(unit == name, F.lit(float(seconds))).otherwise(scale)
+    return F.when(F.rlike(text, F.lit(STEP)), number.try_cast("double") * scale).otherwise(F.lit(float(otherwise)))
+
+
 def floor_time(ts: Column | str, seconds: float) -> Column:
     """The timestamp floored to a multiple of the step since the epoch; a zone-less timestamp stays one."""
     micros = int(seconds * 1_000_000)
@@ -110,3 +123,11 @@ def jaeger_port(url: str, otherwise: int = 16686) -> tuple[str, int]:
     """Host and port of an address with or without a scheme."""
     parts = urlsplit(url if "//" in url else f"//{url}")
     return parts.hostname or "localhost", parts.port or otherwise
+
+
+def host_port(url: Column | str, otherwise: int = 16686) -> Column:
+    """jaeger_port as a Column: struct(host, port)."""
+    address = F.regexp_extract(F.regexp_replace(col(url), r"^[A-Za-z][A-Za-z0-9+.\-]*://|^//", ""), r"^([^/?#]*)", 1)
+    host = F.lower(F.regexp_extract(address, r"^(?:.*@)?([^:@]*)", 1))
+    port = F.regexp_extract(address, r":(\d+)$", 1)
+    return F.struct(F.when(host == "", "localhost").otherwise(host).alias("host"), F.when(port == "", F.lit(otherwise)).otherwise(port.try_cast("int")).alias("port"))

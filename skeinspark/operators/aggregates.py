@@ -71,22 +71,25 @@ def percentile(buckets: Column, p: float) -> Column:
     return F.when(F.size(buckets) == 0, 0.0).when(total == 0, 0.0).otherwise(value)
 
 
-def histograms(df: DataFrame, keys: Sequence[str], percentiles: Sequence[float] = PERCENTILES) -> DataFrame:
-    """df (keys, metric, labels with le, value) -> p50 ..., mean, count, sum; keys without bucket rows give nothing.
+def histograms(df: DataFrame, keys: Sequence[str], percentiles: Sequence[float] = PERCENTILES, service: str | None = None) -> DataFrame:
+    """df (keys, metric, labels with le, or le, value) -> p50 ..., mean, count, sum, and the smallest service of a bucket row if wanted; keys without bucket rows give nothing.
 
     Counts of equal bounds are added first, so the number of series of a family does not meet in one group.
     """
     part = F.regexp_extract("metric", "_(bucket|sum|count)$", 1)
-    rows = df.select(*keys, part.alias("part"), F.when(part == "bucket", bound(F.col("labels")["le"])).alias("le"), present("value").alias("v")).where(part != "")
-    merged = rows.groupBy(*keys, "part", "le").agg(F.sum("v").alias("n"))
+    le = F.col("le") if "le" in df.columns else F.col("labels")["le"]
+    owner = (F.col(service) if service else F.lit(None).cast("string")).alias("owner")
+    rows = df.select(*keys, part.alias("part"), F.when(part == "bucket", bound(le)).alias("le"), present("value").alias("v"), owner).where(part != "")
+    merged = rows.groupBy(*keys, "part", "le").agg(F.sum("v").alias("n"), F.min("owner").alias("owner"))
     one = merged.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.when(F.col("part") == "bucket", F.struct("le", F.coalesce("n", F.lit(0.0)).alias("n"))))).alias("buckets"),
         F.max(F.when(F.col("part") == "sum", F.col("n"))).alias("s"),
         F.max(F.when(F.col("part") == "count", F.col("n"))).alias("c"),
+        F.min(F.when(F.col("part") == "bucket", F.col("owner"))).alias("owner"),
     ).where(F.size("buckets") > 0)
     count = F.coalesce("c", F.element_at("buckets", -1)["n"])
     total = F.coalesce("s", F.lit(0.0))
-    return one.select(*keys, *[percentile(F.col("buckets"), p).alias(f"p{round(100 * p)}") for p in percentiles], ratio(total, count).alias("mean"), count.alias("count"), total.alias("sum"))
+    return one.select(*keys, *[percentile(F.col("buckets"), p).alias(f"p{round(100 * p)}") for p in percentiles], ratio(total, count).alias("mean"), count.alias("count"), total.alias("sum"), *([F.col("owner").alias(service)] if service else []))
 
 
 def histograms_as_counters(df: DataFrame, keys: Sequence[str], window_seconds: float = 60) -> DataFrame:
@@ -97,9 +100,17 @@ def histograms_as_counters(df: DataFrame, keys: Sequence[str], window_seconds: f
     return out.withColumn("mean", F.when(F.col("rate") > 0, F.col("sum_rate") / F.col("rate")))
 
 
-def long_features(df: DataFrame, counters: Sequence[str] | None = ("count",), gauges: Sequence[str] | None = ("mean",), window_seconds: float = 60, counter_mode: str = "parity") -> DataFrame:
+def described(df: DataFrame) -> DataFrame:
+    """df (metric, labels) with metric_family, kind, service and le, what a series' name and labels say, unless it has them."""
+    made = {"metric_family": metric_family("metric"), "kind": metric_type("metric"), "service": service_name("labels"), "le": F.col("labels")["le"], "total": F.col("metric").endswith("_total")}
+    return df.withColumns({k: x for k, x in made.items() if k not in df.columns})
+
+
+def long_features(df: DataFrame, counters: Sequence[str] | None = ("count",), gauges: Sequence[str] | None = ("mean",), window_seconds: float = 60, counter_mode: str = "parity", with_histograms: bool = True) -> DataFrame:
     """Samples (timestamp, entity_key, signal_key, metric, labels, value) -> timestamp, entity_key, metric_family, signal_key, aggregation, value, service.
 
+    Columns of ``described`` are taken as they are; without buckets (with_histograms) the histograms' pass falls away.
+
     A group with any histogram part is a histogram, else with any counter a counter, else a gauge. counter_mode
     "parity" sees a group's one timestamp, so counters are 0; "windowed" floors timestamps to the window first, so
     that a group spans it. One shuffle on the keys aggregates counters and gauges; histograms take one on keys and bound.
@@ -110,15 +121,14 @@ def long_features(df: DataFrame, counters: Sequence[str] | None = ("count",), ga
         df = df.withColumn("at", F.col("timestamp")).withColumn("timestamp", floor_time("timestamp", window_seconds))
     else:
         df = df.withColumn("at", F.col("timestamp"))
-    rows = df.withColumn("metric_family", metric_family("metric")).withColumn("kind", metric_type("metric"))
-    is_total = F.col("metric").endswith("_total")
+    rows = described(df)
     # series of a family are added (counters) or averaged (gauges) at each timestamp before they are aggregated over time
     each = rows.groupBy(*LONG_KEYS, "at").agg(
         F.max(F.col("kind").isin("histogram", "histogram_component")).alias("is_histogram"),
         F.max(F.col("kind") == "counter").alias("is_counter"),
-        F.sum(F.when(is_total, present("value"))).alias("total"),
+        F.sum(F.when(F.col("total"), present("value"))).alias("total"),
         F.avg(present("value")).alias("value"),
-        F.min(service_name("labels")).alias("service"),
+        F.min("service").alias("service"),
     )
     rate, count = counter("total", "at", window_seconds)
     stats = gauge("value", "at")
@@ -129,10 +139,11 @@ def long_features(df: DataFrame, counters: Sequence[str] | None = ("count",), ga
     of_gauge = made([n for n in TYPE_AGGREGATIONS["gauge"] if n in gauges], "g") if gauges else none
     parts = F.when(F.col("is_counter"), F.when(F.col("totals") > 0, of_counter).otherwise(none)).otherwise(of_gauge)
     plain = wide.where("NOT is_histogram").select(*LONG_KEYS, "service", F.explode(parts).alias("x")).select(*LONG_KEYS, "x.aggregation", "x.value", "service")
-    found = histograms(rows.withColumn("service", service_name("labels")), LONG_KEYS)
-    service = rows.where(F.col("kind") == "histogram").groupBy(*LONG_KEYS).agg(F.min(service_name("labels")).alias("service"))
+    if not with_histograms:
+        return plain
+    found = histograms(rows, LONG_KEYS, service="service")
     names = TYPE_AGGREGATIONS["histogram"]
-    buckets = found.join(service, list(LONG_KEYS)).select(*LONG_KEYS, "service", F.explode(F.array(*[F.struct(F.lit(n).alias("aggregation"), F.col(n).cast("double").alias("value")) for n in names])).alias("x"))
+    buckets = found.select(*LONG_KEYS, "service", F.explode(F.array(*[F.struct(F.lit(n).alias("aggregation"), F.col(n).cast("double").alias("value")) for n in names])).alias("x"))
     return plain.unionByName(buckets.select(*LONG_KEYS, "x.aggregation", "x.value", "service"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.base import first_match
 from ..functions.names import metric_family
+from ..session import shipped
 
 
 def by_labels(df: DataFrame, **wanted: str | Sequence[str]) -> DataFrame:
@@ -43,10 +44,10 @@ def by_metrics(df: DataFrame, patterns: Sequence[str], exclude: bool = False) ->
 
 
 def by_condition(df: DataFrame, condition: Column | Callable[[dict], bool]) -> DataFrame:
-    """Rows that meet a Column, or a function of the row as a dict, which runs in Python."""
+    """Rows that meet a Column, or a function of the row as a dict, which runs in Python, in Arrow batches."""
     if isinstance(condition, Column):
         return df.where(condition)
-    return df.where(F.udf(lambda r: bool(condition(r.asDict())), "boolean")(F.struct("*")))
+    return shipped(df).where(F.udf(lambda r: bool(condition(r.asDict())), "boolean", useArrow=True)(F.struct("*")))
 
 
 def families(df: DataFrame, include: Sequence[str] = (), exclude: Sequence[str] = ()) -> DataFrame:

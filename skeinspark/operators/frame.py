@@ -45,7 +45,8 @@ def dtypes(df: DataFrame) -> dict[str, str]:
 
 
 def row_at(df: DataFrame, order: Sequence[str], places: Sequence[int]) -> DataFrame:
-    """Rows at positions (from 0) of the given order."""
+    """Rows at positions (from 0) of the given order; only rows up to the last position are numbered."""
+    df = df.orderBy(*order).limit(max(places, default=-1) + 1)
     numbered = df.withColumn("__at", F.row_number().over(Window.orderBy(*order)) - 1)
     return numbered.where(F.col("__at").isin(*places)).drop("__at")
 
@@ -217,8 +218,8 @@ def apply_series(fn: Callable, kind: str) -> Callable[..., Column]:
 
 
 def apply_rows(df: DataFrame, fn: Callable[[dict], object], name: str, kind: str) -> DataFrame:
-    """df with a column that a function makes of each row as a dict; its type is declared."""
-    return shipped(df).withColumn(name, F.udf(lambda r: fn(r.asDict()), kind)(F.struct(*df.columns)))
+    """df with a column that a function makes of each row as a dict, in Arrow batches; its type is declared."""
+    return shipped(df).withColumn(name, F.udf(lambda r: fn(r.asDict()), kind, useArrow=True)(F.struct(*df.columns)))
 
 
 def apply_groups(df: DataFrame, keys: Sequence[str], fn: Callable, schema: str) -> DataFrame:

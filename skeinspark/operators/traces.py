@@ -79,7 +79,7 @@ def roll_up(spans: DataFrame) -> DataFrame:
         (F.sum("duration_us") / 1000).alias("total_duration_ms"),
         (F.max(end) - F.min(epoch_seconds("start_time") * 1000)).alias("wall_duration_ms"),
         F.count("*").alias("span_count"),
-        F.count_distinct("service_name").alias("service_count"),
+        F.size(F.collect_set("service_name")).cast("bigint").alias("service_count"),
         bad.alias("has_error"),
     )
 
@@ -134,6 +134,16 @@ def trees(rows: Iterable[dict]) -> list[dict]:
     """Roots of a trace, each with children in order of start."""
     nodes = {r["span_id"]: {**r, "children": []} for r in rows}
     roots = []
+    done: set[str] = set()
+    for first in nodes:  # a ring of parents has its earliest span as a root
+        chain, at = [], first
+        while at in nodes and at not in done:
+            done.add(at)
+            chain.append(at)
+            at = nodes[at]["parent_span_id"]
+        if at in chain:
+            top = min(chain[chain.index(at) :], key=lambda k: (nodes[k]["start_us"], k))
+            nodes[top]["parent_span_id"] = None
     for node in sorted(nodes.values(), key=lambda r: (r["start_us"], r["span_id"])):
         parent = nodes.get(node["parent_span_id"])
         (roots if parent is None or parent is node else parent["children"]).append(node)
@@ -155,9 +165,17 @@ def folded(parts: list) -> list:
 
 
 def outline(span: dict) -> list:
-    """[service, operation, folded outlines of the children]."""
-    inner = folded([outline(c) for c in span["children"]])
-    return [span["service_name"], span["operation_name"], *([inner] if inner else [])]
+    """[service, operation, folded outlines of the children]; kept with the span, children before parents, however deep."""
+    waiting = [span]
+    while waiting:
+        s = waiting[-1]
+        if "outline" not in s and (new := [c for c in s["children"] if "outline" not in c]):
+            waiting += new
+            continue
+        waiting.pop()
+        inner = folded([c["outline"] for c in s["children"]])
+        s["outline"] = [s["service_name"], s["operation_name"], *([inner] if inner else [])]
+    return span["outline"]
 
 
 def signature(span: dict) -> str:
@@ -165,9 +183,12 @@ def signature(span: dict) -> str:
 
 
 def walk(span: dict, path: str = "0"):
-    yield path, span
-    for i, child in enumerate(span["children"]):
-        yield from walk(child, f"{path}.{i}")
+    """(path, span) of a tree, parents first, in order."""
+    waiting = [(path, span)]
+    while waiting:
+        path, span = waiting.pop()
+        yield path, span
+        waiting += [(f"{path}.{i}", c) for i, c in reversed(list(enumerate(span["children"])))]
 
 
 def repeating_group(parts: Sequence[str]) -> tuple[int, int]:

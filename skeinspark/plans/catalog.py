@@ -5,7 +5,6 @@ Keys begin with the operators' ids.  Times are microseconds since the epoch; flo
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -113,16 +112,18 @@ def X2_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {RAW}, d AS (SELECT (us // 86400000000) * 86400000000 AS us, 'instance=' || instance AS entity_key, status, avg(value) AS m FROM raw GROUP BY ALL)
 SELECT us, entity_key, CASE status WHEN '200' THEN 'success' ELSE 'server_error' END AS signal_key, 'event_value' AS metric_family, 'mean' AS aggregation, round(m, 6) AS value FROM d""")
 def A18_long_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = D.rewrite_labels(_flagship_rows(spark, sf_dir)).withColumn("entity_key", L.entity_key("labels"))
-    return A.long_features(rows).select(us("timestamp"), "entity_key", "signal_key", "metric_family", "aggregation", r6("value").alias("value"))
+    rows, buckets = D.keyed(_flagship_rows(spark, sf_dir))
+    return A.long_features(rows, with_histograms=buckets).select(us("timestamp"), "entity_key", "signal_key", "metric_family", "aggregation", r6("value").alias("value"))
 
 
 # ---- sources -------------------------------------------------------------------------------------------------------
 
 
-@query("SELECT 'event_value' AS metric")
+@query("SELECT DISTINCT 'event_' || event_type || CASE WHEN user_id % 2 = 0 THEN '_total' ELSE '' END AS metric FROM events")
 def S2_metric_names(spark, sf_dir):
-    return raw.event_samples(spark, sf_dir).select("metric").distinct()
+    e = raw.event_samples(spark, sf_dir)
+    name = F.concat(F.lit("event_"), F.col("labels")["service_name"], F.when(F.col("user_id") % 2 == 0, "_total").otherwise(""))
+    return e.withColumn("metric", name).select("metric").distinct()
 
 
 @query("SELECT unnest(['instance', 'service_name', 'status_code']) AS label")
@@ -1118,11 +1119,13 @@ def A37_span_events(spark, sf_dir):
     return J.span_events(s).select(F.col("operation_name").alias("operation"), "event", "n", r6("mean_offset").alias("mean_offset"))
 
 
-@query("SELECT * FROM (VALUES ('event_value', 'gauge')) t(family, type)")
+@query("SELECT DISTINCT event_type AS family, 'gauge' AS type FROM events WHERE event_type IN ('view', 'purchase', 'signup') AND event_type LIKE '%i%'")
 def F9_F10_families(spark, sf_dir):
-    both = raw.event_samples(spark, sf_dir).select("metric", "labels").unionByName(buckets(spark, sf_dir).select("metric", "labels"))
-    found = Q.discover_families(both)
-    return P.of_type(P.families(found, ["^event", "^req"], ["^zz"]), "gauge").select("family", "type")
+    """Families by their names' suffixes: click counters, error histograms, gauges; those with an i that are no counters or histograms."""
+    e = raw.event_samples(spark, sf_dir)
+    service = F.col("labels")["service_name"]
+    e = e.withColumn("metric", F.concat(service, F.when(service == "click", "_total").when(service == "error", "_bucket").otherwise("")))
+    return P.of_type(P.families(Q.discover_families(e), ["i", "error"], ["^zz"]), "gauge").select("family", "type")
 
 
 @query("SELECT 'user' AS label, count(DISTINCT user_id) AS cardinality FROM events HAVING count(DISTINCT user_id) > 50")
@@ -1177,12 +1180,13 @@ def V2_row_function(spark, sf_dir):
     return X.apply_rows(n, lambda r: f"{r['n_name'].upper()}{r['n_regionkey']}", "made", "string").select("k", "made")
 
 
-@query("SELECT n_regionkey AS r, count(*) AS n FROM nation GROUP BY 1")
+@query("SELECT n_regionkey AS r, count(*) AS n, max(n_nationkey) - min(n_nationkey) AS width, string_agg(n_name, '/' ORDER BY n_name) AS names FROM nation GROUP BY 1")
 def V3_W14_group_function(spark, sf_dir):
     import pandas as pd
 
-    n = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("r"), "n_nationkey")
-    return X.apply_groups(n, ["r"], lambda g: pd.DataFrame({"r": [g["r"].iloc[0]], "n": [len(g)]}), "r int, n bigint")
+    n = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("r"), "n_nationkey", "n_name")
+    one = lambda g: pd.DataFrame({"r": [g["r"].iloc[0]], "n": [len(g)], "width": [g["n_nationkey"].max() - g["n_nationkey"].min()], "names": ["/".join(sorted(g["n_name"]))]})
+    return X.apply_groups(n, ["r"], one, "r int, n bigint, width bigint, names string")
 
 
 @query("SELECT epoch_us(ts) AS us, epoch_us(lead(ts) OVER (ORDER BY ts)) AS until, CASE WHEN event_type = 'error' THEN 'error' ELSE '' END AS regimes FROM (SELECT DISTINCT ON (ts) ts, event_type FROM events ORDER BY ts, event_id)")
@@ -1224,13 +1228,20 @@ def N6_generated_spans(spark, sf_dir):
     return Y.spans(spark.range(1).select(F.lit("t").alias("template"), F.lit(1.0).alias("weight"), parts.alias("spans")), "2024-02-01", 60, 2.0)
 
 
-@query("""SELECT * FROM (VALUES (0, 11.0::DOUBLE, 2.0::DOUBLE), (1, 22.0, 0.01), (3, 7.0, 1.0)) t(k, mean, std)""")
+@query("""WITH b AS (SELECT c_nationkey AS k, avg(c_acctbal) AS mean, stddev_samp(c_acctbal) AS std FROM customer WHERE c_nationkey < 20 GROUP BY 1),
+o AS (SELECT c_nationkey AS k, avg(c_acctbal) AS mean, stddev_samp(c_acctbal) / 3 AS std FROM customer WHERE c_nationkey > 4 AND c_custkey % 5 > 0 GROUP BY 1),
+t AS (SELECT c_nationkey AS k, 2 * avg(c_acctbal) AS mean, stddev_samp(c_acctbal) / 4 AS std FROM customer WHERE c_nationkey BETWEEN 3 AND 19 GROUP BY 1)
+SELECT k, round(CASE WHEN b.k IS NULL THEN o.mean ELSE b.mean + coalesce(o.mean - b.mean, 0) + coalesce(t.mean - b.mean, 0) END, 6) AS mean,
+ round(CASE WHEN b.k IS NULL THEN o.std ELSE greatest(b.std + coalesce(o.std - b.std, 0) + coalesce(t.std - b.std, 0), 0.01) END, 6) AS std
+FROM b FULL JOIN o USING (k) FULL JOIN t USING (k) WHERE NOT (b.k IS NOT NULL AND o.k IS NULL AND t.k IS NULL)""")
 def J10_superposed(spark, sf_dir):
-    frame = lambda rows: spark.createDataFrame(rows, "k int, mean double, std double")
-    base = frame([(0, 10.0, 2.0), (1, 20.0, 1.0), (2, 5.0, 1.0)])
-    one = Y.regime_deltas(base, frame([(0, 11.0, 2.0), (1, 21.0, 0.2), (3, 7.0, 1.0)]), ["k"])
-    two = Y.regime_deltas(base, frame([(0, 10.0, 2.0), (1, 21.0, 0.1)]), ["k"])
-    return Y.superposed(base, [one, two], ["k"])
+    """Two regimes over a baseline: nations 20 on come in with the first, 0 to 2 go in both, 3 and 4 in one only."""
+    c = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "k")
+    stats = lambda rows, scale, share: rows.groupBy("k").agg((F.avg("c_acctbal") * scale).alias("mean"), (F.stddev_samp("c_acctbal") / share).alias("std"))
+    base = stats(c.where("k < 20"), 1.0, 1.0)
+    one = Y.regime_deltas(base, stats(c.where("k > 4 AND c_custkey % 5 > 0"), 1.0, 3.0), ["k"])
+    two = Y.regime_deltas(base, stats(c.where("k BETWEEN 3 AND 19"), 2.0, 4.0), ["k"])
+    return Y.superposed(base, [one, two], ["k"]).select("k", r6("mean").alias("mean"), r6("std").alias("std"))
 
 
 @query("""SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-05' THEN 'base' WHEN ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-06' THEN 'spike,leak' END AS regimes FROM events""")
@@ -1261,16 +1272,17 @@ def T1_poll_window(spark, sf_dir):
     return streams.poll_window(raw.event_samples(spark, sf_dir), "2024-01-10 00:00:00", 86400).select("event_id")
 
 
-@query(f"""WITH {RAW}, s AS (SELECT service, us, event_id, value, lag(value) OVER (PARTITION BY service ORDER BY us, event_id) AS old FROM raw) SELECT service, count(*) AS n FROM s GROUP BY 1""")
+@query(f"""WITH {RAW} SELECT service, us + event_id AS us, round(value - lag(value) OVER (PARTITION BY service ORDER BY us + event_id), 6) AS delta FROM raw""")
 def T3_stateful_stream(spark, sf_dir):
-    """The events as a stream through stateful deltas, into a memory table."""
+    """The events as a stream through stateful deltas, into files; event numbers as microseconds make times distinct."""
     schema = table(spark, sf_dir, "events").schema
     e = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")  # a pattern, as the table may be a file or a folder
-    rows = e.select(F.col("event_type").alias("entity_key"), F.lit("value").alias("feature"), F.col("ts").cast("timestamp").alias("timestamp"), "value")
-    name = f"stateful_{next(_COUNT)}"
-    query = streams.stateful_deltas(rows).writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(name).groupBy(F.col("entity_key").alias("service")).agg(F.count("*").alias("n"))
+    at = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id"))
+    rows = e.select(F.col("event_type").alias("entity_key"), F.lit("value").alias("feature"), at.alias("timestamp"), "value")
+    out, state = inventory.folder(spark), inventory.folder(spark)
+    run = streams.stateful_deltas(rows).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.parquet(out).select(F.col("entity_key").alias("service"), us("timestamp"), r6("delta").alias("delta"))
 
 
-_COUNT = itertools.count()
+from . import inventory  # noqa: E402  registers its queries here

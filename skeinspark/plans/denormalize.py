@@ -15,10 +15,11 @@ from ..functions.names import metric_family
 from ..functions.operations import http_method, messaging_operation, operation_bucket, rpc_operation
 from ..functions.routes import parameterize_route
 from ..functions.status import CORE, status_bucket
-from ..operators.aggregates import long_features
+from ..operators.aggregates import described, long_features
 from ..operators.filters import by_service, salient_metrics
 from ..operators.frame import align_columns, features_of, pivot
 from ..operators.windows import delta_features, tumbling
+from ..session import bounded, checkpointed
 
 # Fixed value: labels that are dropped by default.
 FORCE_DROP = ("otel_scope_name", "otel_scope_version", "telemetry_sdk_language", "telemetry_sdk_name", "telemetry_sdk_version")
@@ -137,7 +138,7 @@ def _rewrite_long(df, rules, force_drop, names, drop_correlation, topn_first, al
     table = spark.createDataFrame([(f, n, r.action, r.bucket_type, list(r.top_values)) for (f, n), r in rules.items()], "family string, label string, action string, bucket_type string, top array<string>")
     kinds = {n: classify_label(n) for n in names}
     plain = spark.createDataFrame([(n, k.category, k.bucket_type if k.category == "signal" else None) for n, k in kinds.items()], "label string, category string, plain_bucket string")
-    cells = cells.join(F.broadcast(table), ["family", "label"], "left").join(F.broadcast(plain), "label", "left")
+    cells = cells.join(bounded(table), ["family", "label"], "left").join(bounded(plain), "label", "left")
     if force_drop:
         cells = cells.where(~F.col("label").isin(*force_drop) | F.col("label").isin(*INTERNAL))
     has_rule, value = F.col("action").isNotNull(), F.col("value")
@@ -158,6 +159,23 @@ def _rewrite_long(df, rules, force_drop, names, drop_correlation, topn_first, al
     return out.withColumn("signal_key", signal_key("labels"))
 
 
+def keyed(df: DataFrame, rules: dict[tuple[str, str], Rule] | None = None, force_drop: Sequence[str] = FORCE_DROP, entity_labels: Sequence[str] | None = None, **options) -> tuple[DataFrame, bool]:
+    """df (metric, labels, ...) with what its series say: rewritten labels, signal_key, entity_key and the columns of ``described``; and whether there is a bucket.
+
+    Every distinct series is rewritten once, in a table of its own that the samples join: they are read once for it, and never
+    rewritten themselves.  The table is broadcast if a count allows it.
+    """
+    entries = F.map_entries("labels")
+    series = checkpointed(df.select("metric", "labels", F.xxhash64("metric", entries).alias("__id")).groupBy("__id", "metric").agg(F.first("labels").alias("labels")))
+    made = rewrite_labels(series, rules, force_drop, **options)
+    made = described(made.withColumn("entity_key", entity_key("labels", list(entity_labels) if entity_labels else None)))
+    made = checkpointed(made.select(F.col("__id").alias("__of"), F.col("metric").alias("__metric"), "labels", "signal_key", "entity_key", "metric_family", "kind", "service", "le", "total"))
+    buckets = not made.where("kind = 'histogram'").isEmpty()
+    rows = df.withColumn("__id", F.xxhash64("metric", entries)).drop("labels")
+    out = rows.join(bounded(made), (F.col("__id") == F.col("__of")) & (F.col("metric") == F.col("__metric"))).drop("__id", "__of", "__metric")
+    return out, buckets
+
+
 def named_features(long: DataFrame, with_service: bool = False) -> DataFrame:
     """long with feature: family__aggregation, then the signal key, with the service before it if wanted."""
     base = F.concat_ws("__", F.when(F.lit(with_service) & (F.col("service") != "unknown"), F.col("service")), "metric_family", "aggregation", F.nullif("signal_key", F.lit("")))
@@ -192,13 +210,13 @@ def denormalize(
 ) -> DataFrame:
     """Wide table (timestamp, entity_key or not, a column a feature) of samples (timestamp, metric, labels, value).
 
-    The label rewrite, the keys and the aggregation are one lazy plan with one shuffle on the keys (histograms one more); the list of
-    features comes from the registry and one small job, or is given.
+    Labels are rewritten and keys made once a series.  The samples are then read once more (twice with histograms) and aggregated
+    with one shuffle on the keys (histograms one more) into the long table, which is checkpointed: the list of features, unless
+    it is given, and the pivot both come from there.
     """
     rules = rules_of(schema) if isinstance(schema, DataFrame) else schema
-    rows = rewrite_labels(raw, rules, force_drop, **options)
-    rows = rows.withColumn("entity_key", entity_key("labels", list(entity_labels) if entity_labels else None))
-    long = named_features(long_features(rows, counters, gauges, window_seconds, counter_mode), unique_timestamps)
+    rows, buckets = keyed(raw, rules, force_drop, entity_labels, **options)
+    long = checkpointed(named_features(long_features(rows, counters, gauges, window_seconds, counter_mode, buckets), unique_timestamps))
     index = ["timestamp"] if unique_timestamps else ["timestamp", "entity_key"]
     if features is None:
         features = features_of(long.where("value IS NOT NULL"), "feature")

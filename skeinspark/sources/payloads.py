@@ -43,6 +43,30 @@ def dd_query(df: DataFrame, payload: str = "payload") -> DataFrame:
 DD_AGGREGATES: dict[str, Callable] = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max}
 
 
+def prometheus_series(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """metric, labels of answers to a series request."""
+    rows = df.select(F.explode(F.from_json(payload, "data array<map<string,string>>")["data"]).alias("s"))
+    return rows.select(F.col("s")["__name__"].alias("metric"), F.map_filter("s", lambda k, _: k != "__name__").alias("labels"))
+
+
+def dd_metric_names(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Distinct metric of metric lists, in order."""
+    return df.select(F.explode(F.from_json(payload, "metrics array<string>")["metrics"]).alias("metric")).distinct().orderBy("metric")
+
+
+def dd_metric_tags(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """metric, key, value of all-tags answers, distinct; a tag without a colon has an empty value."""
+    got = F.from_json(payload, "data struct<id: string, attributes: struct<tags: array<string>>>")["data"]
+    rows = df.select(got["id"].alias("metric"), F.explode(got["attributes"]["tags"]).alias("tag"))
+    return rows.select("metric", F.split("tag", ":", 2)[0].alias("key"), F.coalesce(F.get(F.split("tag", ":", 2), 1), F.lit("")).alias("value")).distinct()
+
+
+def dd_metadata(df: DataFrame, metric: str = "metric", payload: str = "payload") -> DataFrame:
+    """metric, type, unit, per_unit, description, integration of metadata answers; what an answer lacks is null."""
+    got = F.from_json(payload, "type string, unit string, per_unit string, description string, integration string")
+    return df.select(metric, got.alias("m")).select(metric, "m.*")
+
+
 def dd_rollup(df: DataFrame, names: Sequence[str], step_seconds: float, aggregation: str = "avg", group_by: Sequence[str] = ()) -> DataFrame:
     """``aggregation:metric{*} by {labels}.rollup(aggregation, step)`` over samples."""
     from ..functions.values import floor_time

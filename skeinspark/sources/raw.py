@@ -108,6 +108,13 @@ def scrape_interval(config: str, otherwise: int = 60) -> int:
     return int(found[1]) * (60 if found[2] == "m" else 1) if found else otherwise
 
 
+def scrape_interval_of(config: Column, otherwise: int = 60) -> Column:
+    """scrape_interval as a Column."""
+    pattern = r"scrape_interval:\s*[\"']?(\d+)(s|m)"
+    number = F.regexp_extract(config, pattern, 1).try_cast("int")
+    return F.coalesce(number * F.when(F.regexp_extract(config, pattern, 2) == "m", 60).otherwise(1), F.lit(otherwise))
+
+
 def event_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as samples of the gauge event_value, with event_id as a unique order."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.labels import entity_key
 from ..operators.aggregates import long_features
-from ..session import shipped
-from ..plans.denormalize import Registry, denormalize, named_features, rewrite_labels
+from ..operators.filters import by_service
+from ..session import checkpointed, shipped
+from ..sources import payloads, sinks
+from ..plans.denormalize import Registry, denormalize, keyed, named_features, rewrite_labels
 
 
 def window_deltas(current: DataFrame, previous: DataFrame | None, entity: str = "entity_key", order: str = "timestamp") -> DataFrame:
@@ -39,7 +41,9 @@ class Windows:
     def process(self, raw: DataFrame) -> DataFrame:
         wide = denormalize(raw, registry=self.registry, include_deltas=False, **self.options)
         out = window_deltas(wide, self.kept[-1] if self.kept else None)
-        self.kept = [*self.kept, wide][-self.lookback :]
+        # the latest row of each entity, computed now: the window's own rows may be gone when the next one comes
+        last = wide.groupBy("entity_key").agg(F.max_by(F.struct(*[c for c in wide.columns if c != "entity_key"]), "timestamp").alias("x"))
+        self.kept = [*self.kept, checkpointed(last.select("entity_key", "x.*"))][-self.lookback :]
         self.windows += 1
         if self.path:
             self.registry.save(self.path)
@@ -68,24 +72,37 @@ def long_stream(stream: DataFrame, window: str = "60 seconds", late: str = "10 m
     return rows.groupBy(F.window("timestamp", window), "entity_key", "metric", "signal_key").agg(F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"), F.count("value").alias("count"))
 
 
-def stateful_deltas(stream: DataFrame) -> DataFrame:
-    """entity_key, feature, timestamp, value, delta to the feature's value before, kept in the stream's state (entity_key, feature, timestamp, value)."""
+def stateful_deltas(stream: DataFrame, idle: str | None = None) -> DataFrame:
+    """entity_key, feature, timestamp, value, delta to the feature's value before, kept in the stream's state (entity_key, feature, timestamp, value).
+
+    A micro-batch's rows of a feature are put in order of time before deltas are taken, however many Arrow frames bring them; a
+    row older than the state's is measured against the state's value all the same, and does not become the state.  State that
+    gets no row for ``idle`` of processing time goes, if that is given.
+    """
+    limit = None if idle is None else int(pd.Timedelta(idle).total_seconds() * 1000)
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (last,) = state.get if state.exists else (None,)
-        for pdf in frames:
-            pdf = pdf.sort_values("timestamp")
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last, at = state.get if state.exists else (None, None)
+        held = list(frames)
+        if held:
+            pdf = pd.concat(held, ignore_index=True).sort_values("timestamp", kind="stable")
             before = pdf["value"].shift(1)
             if last is not None and len(before):
                 before.iloc[0] = last
-            if len(pdf):
-                last = float(pdf["value"].iloc[-1])
-                yield pdf.assign(delta=pdf["value"] - before)
+            if len(pdf) and (at is None or pdf["timestamp"].iloc[-1].value >= at):
+                last, at = float(pdf["value"].iloc[-1]), int(pdf["timestamp"].iloc[-1].value)
+            yield pdf.assign(delta=pdf["value"] - before)
         if last is not None:
-            state.update((last,))
+            state.update((last, at))
+            if limit:
+                state.setTimeoutDuration(limit)
 
     out = "entity_key string, feature string, timestamp timestamp, value double, delta double"
-    return shipped(stream).select("entity_key", "feature", "timestamp", "value").groupBy("entity_key", "feature").applyInPandasWithState(step, out, "last double", "append", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if limit else GroupStateTimeout.NoTimeout
+    return shipped(stream).select("entity_key", "feature", "timestamp", "value").groupBy("entity_key", "feature").applyInPandasWithState(step, out, "last double, at bigint", "append", timeout)
 
 
 def buffered(stream: DataFrame, retention: str = "24 hours") -> DataFrame:
@@ -112,5 +129,18 @@ def poll_window(samples: DataFrame, end, window_seconds: float) -> DataFrame:
 
 def long_table(raw: DataFrame, **options) -> DataFrame:
     """The named long features of a batch, for stateful_deltas."""
-    rows = rewrite_labels(raw).withColumn("entity_key", entity_key("labels"))
-    return named_features(long_features(rows, **options)).select("entity_key", "feature", "timestamp", "value")
+    rows, buckets = keyed(raw)
+    return named_features(long_features(rows, with_histograms=buckets, **options)).select("entity_key", "feature", "timestamp", "value")
+
+
+def landing(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of typed samples of the intake bodies (JSON lines) that arrive as files in a folder."""
+    return payloads.dd_intake(spark.readStream.text(folder).select(F.col("value").alias("payload")))
+
+
+def collect_metrics(otlp_rows: DataFrame, services: Sequence[str] = (), prefix: str = "sml.", **options) -> DataFrame:
+    """OTLP payloads in, OTLP payloads of the feature table out: one batch of the collector's processor, without memory of others."""
+    rows = payloads.otlp(otlp_rows)
+    if services:
+        rows = by_service(rows, services)
+    return sinks.wide_to_otlp(denormalize(rows, **options), prefix)
