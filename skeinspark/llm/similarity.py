@@ -46,6 +46,8 @@ COUNTERS, SLICES = 1 << 22, 64
 FLUSH, BUCKET = 600_000, 300_000
 #: Members of a block of a list that spans components, rows of blocks that a task gets.
 BLOCK, MEET = 1024, 50_000
+#: Pairs of a group up to which they are looked at together with other groups'.
+SMALL = 256
 #: Rows of blocks for each entry beyond which members are tied to hubs first, and rounds of that at most.
 WIDE, HUBS = 8, 16
 #: Least bits of the parity sketch that rules candidates out before whole sets are read.
@@ -329,45 +331,74 @@ class Join:
         def meet(part: pa.Table) -> pa.Table:
             sig, x, y, side, c, n, root, outer = (part.column(k).to_numpy() for k in ("sig", "x", "y", "side", "c", "n", "root", "outer"))
             bits = part.column("bits").combine_chunks().flatten().to_numpy().view(U).reshape(len(c), -1)
-            label = np.unique(root, return_inverse=True)[1]  # of components that candidates tie, in a forest
-            of = label.copy()
+            distinct, of = np.unique(root, return_inverse=True)
+            label = np.arange(len(distinct))  # equal for roots that candidates have tied, in a forest
             order = np.lexsort((side, y, x, sig))
             group = np.concatenate(([0], np.flatnonzero((np.diff(sig[order]) != 0) | (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0)) + 1, [len(c)]))
+            lo, nl = group[:-1], np.add.reduceat((side[order] == 0).astype(np.int64), group[:-1]) if len(c) else np.zeros(0, np.int64)
+            nr = np.diff(group) - nl
             first, second, again = [], [], []
-            for lo, hi in zip(group[:-1].tolist(), group[1:].tolist()):
-                at = order[lo:hi]
-                split = np.count_nonzero(side[at] == 0)
-                lefts, rights, open_list = at[:split], at[split:], False
+
+            def near(i, j):
+                """Whether left and right members may link, by roots, sizes and parities."""
+                ok = (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (~outer[i] | (c[j] > c[i]))
+                at = np.flatnonzero(ok)
+                differ = np.bitwise_count(bits[i[at]] ^ bits[j[at]]).sum(axis=1, dtype=np.int64)
+                ok[at] = (100 + percent) * differ <= (100 - percent) * (n[i[at]] + n[j[at]])
+                return ok
+
+            # small groups: all their pairs together
+            small = np.flatnonzero(nl * nr <= SMALL)
+            done = np.concatenate(([0], np.cumsum((nl * nr)[small])))
+            cuts = [0]
+            while cuts[-1] < len(small):
+                cuts.append(max(cuts[-1] + 1, int(np.searchsorted(done, done[cuts[-1]] + 100_000, "right")) - 1))
+            for at, until in zip(cuts[:-1], cuts[1:]):
+                g = np.repeat(small[at:until], (nl * nr)[small[at:until]])
+                t = np.arange(len(g)) - np.repeat(done[at:until] - done[at], (nl * nr)[small[at:until]])
+                i, j = order[lo[g] + t // nr[g]], order[lo[g] + nl[g] + t % nr[g]]
+                ok = near(i, j)
+                g, i, j = g[ok], i[ok], j[ok]
+                if forest:
+                    again.append(sig[order[lo[np.unique(g)]]])
+                    new = np.zeros(len(i), dtype=bool)
+                    for k, (x, y) in enumerate(zip(of[i].tolist(), of[j].tolist())):
+                        if label[x] != label[y]:
+                            new[k] = True
+                            label[label == label[y]] = label[x]
+                    i, j = i[new], j[new]
+                first.append(i)
+                second.append(j)
+
+            # others: a left member against all right ones at a time
+            for g in np.flatnonzero(nl * nr > SMALL).tolist():
+                at = order[group[g] : group[g + 1]]
+                lefts, rights, open_list = at[: nl[g]], at[nl[g] :], False
                 for i in lefts.tolist():
-                    ok = root[rights] != root[i]
+                    j = rights
                     if forest:
-                        tied = ok & (label[of[rights]] == label[of[i]])
-                        open_list |= bool(tied.any())
-                        ok &= ~tied
-                    j = rights[ok & (100 * np.minimum(n[rights], n[i]) >= percent * np.maximum(n[rights], n[i]))]
-                    if outer[i]:
-                        j = j[c[j] > c[i]]
+                        tied = label[of[j]] == label[of[i]]
+                        open_list |= bool((tied & (root[j] != root[i])).any())
+                        j = j[~tied]
+                    j = j[near(np.full(len(j), i), j)]
                     if not len(j):
                         continue
-                    differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                    j = j[(100 + percent) * differ <= (100 - percent) * (n[j] + n[i])]
-                    if forest and len(j):
+                    open_list = True
+                    if forest:
                         tied, once = np.unique(label[of[j]], return_index=True)
                         j = j[once]
                         label[np.isin(label, tied)] = label[of[i]]
-                    if len(j):
-                        open_list = True
-                        first.append(np.full(len(j), i))
-                        second.append(j)
+                    first.append(np.full(len(j), i))
+                    second.append(j)
                 if forest and open_list:
-                    again.append(sig[at[0]])
+                    again.append(sig[at[:1]])
             u, v = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (first, second))
             swap = c[u] > c[v]
             u, v = np.where(swap, v, u), np.where(swap, u, v)
             once = np.unique(np.stack((c[u], c[v])), axis=1, return_index=True)[1] if len(u) else u
             u, v = u[once], v[once]
             trim()
-            again = np.unique(np.array(again, dtype=np.int64))
+            again = np.unique(np.concatenate([np.zeros(0, np.int64), *again]))
             columns = {k: pa.array(np.concatenate((x, again)), mask=np.arange(len(x) + len(again)) >= len(x)) for k, x in (("a", c[u]), ("b", c[v]), ("na", n[u]), ("nb", n[v]), ("ra", root[u]), ("rb", root[v]))}
             return pa.table(columns | {"sig": pa.array(np.concatenate((c[u], again)), mask=np.arange(len(u) + len(again)) < len(u))})
 
