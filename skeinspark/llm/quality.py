@@ -1,10 +1,10 @@
 """Quality rules and cross-document line frequency, in DataFrame functions only.
 
 Base rules look at one text.  The frequency rule hashes normalised lines, counts in how many distinct
-texts of a host each occurs, takes the lines above the limit out and rejects documents that are left with
-too little.  Copies of a text count once, so a text is not rejected for having copies.
+documents of a host each occurs, takes the lines above the limit out and rejects documents that are left with
+too little.  Copies under different ids are different documents; rows that repeat doc_id and text are one.
 
-Line rows carry numbers only and are pre-aggregated before each shuffle; the (host, line, text) level
+Line rows carry numbers only and are pre-aggregated before each shuffle; the (host, line, document) level
 keeps a line that a third of all documents share from meeting in one task.
 """
 
@@ -17,8 +17,8 @@ from .runtime import bounded, cut, documents, let, ready
 
 BLANKS = r"[\x20\x09-\x0D]+"
 WORDS = r"[^\x20\x09-\x0D]+"
-#: Distinct texts of a host that may share a line: the larger of this number and this share of the host's texts.
-MAX_TEXTS, MAX_SHARE = 20, 0.01
+#: Distinct documents of a host that may share a line: the larger of this number and this share of the host's documents.
+MAX_DOCS, MAX_SHARE = 20, 0.01
 #: Share of its words that a document must keep, and words.
 MIN_LEFT, MIN_WORDS = 0.5, 10
 GRAM = 5
@@ -80,22 +80,21 @@ def without_lines(text: Column, lines: Column) -> Column:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """docs with one row for each line that has a word: line (its hash) and its words."""
-    each = F.transform(lines_of(F.col("text")), lambda x: F.struct(line_hash(x).alias("line"), F.regexp_count(x, F.lit(WORDS)).alias("words")))
+    """docs with a row, ``line``, for the hash of each line that has a word, once a document."""
     kept = [c for c in docs.columns if c != "text"]
-    return docs.where("text IS NOT NULL").select(*kept, F.explode(each).alias("x")).select(*kept, "x.line", "x.words")
+    return docs.where("text IS NOT NULL").select(*kept, F.explode(F.array_distinct(F.transform(lines_of(F.col("text")), line_hash))).alias("line"))
 
 
-def frequent_lines(docs: DataFrame, max_texts: int = MAX_TEXTS, max_share: float = MAX_SHARE) -> DataFrame:
-    """host, line of every line that more distinct texts of the host hold than the limit allows."""
-    rows = docs.select("host", F.xxhash64("text").alias("mark"), "text")
-    texts = rows.where("text IS NOT NULL").groupBy("host", "mark").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("texts"))
-    seen = line_rows(rows).groupBy("host", "line", "mark").agg(F.lit(1).alias("one"))
-    often = seen.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_texts).toDF("often_host", "often_line", "n")
-    return often.join(texts, F.col("often_host").eqNullSafe(F.col("host"))).where(F.col("n") > max_share * F.col("texts")).select("often_host", "often_line")
+def frequent_lines(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+    """host, line of every line that more distinct documents of the host hold than the limit allows."""
+    rows = docs.select("host", F.xxhash64("doc_id", "text").alias("doc"), "text")
+    total = rows.where("text IS NOT NULL").groupBy("host", "doc").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("docs"))
+    seen = line_rows(rows).groupBy("host", "line", "doc").agg(F.lit(1).alias("one"))
+    often = seen.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_docs).toDF("often_host", "often_line", "n")
+    return often.join(total, F.col("often_host").eqNullSafe(F.col("host"))).where(F.col("n") > max_share * F.col("docs")).select("often_host", "often_line")
 
 
-def quality(docs: DataFrame, host: str = "source", max_texts: int = MAX_TEXTS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+def quality(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_line_words, left of every row.
 
     left: the text without its lines above the limit; n_line_words: words that it lost.  kept is false if a base rule fails, or the words left are under
@@ -104,7 +103,7 @@ def quality(docs: DataFrame, host: str = "source", max_texts: int = MAX_TEXTS, m
     """
     ready(docs.sparkSession)
     rows = documents(docs, **{host: "string"}).withColumnRenamed(host, "host")
-    often = cut(frequent_lines(rows, max_texts, max_share))
+    often = cut(frequent_lines(rows, max_docs, max_share))
     marked = rows.withColumn("mark", F.xxhash64("text"))
     found = line_rows(marked.select("host", "mark", "text"))
     often = bounded(often)
