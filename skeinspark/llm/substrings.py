@@ -8,10 +8,11 @@ anywhere else.  Four steps, each over all documents, dealt into blocks of a boun
    counted per block, then over blocks; those that occur once are dropped.
 2. Confirmation.  Windows whose anchor recurs are counted the same way, by anchor and window hash together.
    What occurs twice or more is a confirmed recurring window.
-3. Automata.  Every block compiles the anchor phrases of its confirmed windows into automata of at most
-   ``SHARD`` phrases and streams each of its documents through them.  A block needs only phrases that occur
-   in it, so automata stay bounded and each document is streamed once, whatever the corpus.
-4. At every occurrence, the windows it anchors are held against the confirmed ones, and their words go.
+3. Automata.  Every block compiles the phrases of the confirmed passages that occur in it into automata of at most
+   ``SHARD`` phrases, each with the confirmed windows that it anchors, and streams each of its documents through
+   them, so automata stay bounded and each document is streamed once, whatever the corpus.
+4. Every occurrence that an automaton reports names its phrase; the windows around it that the phrase has among its
+   confirmed ones are recurring windows, and their words go.  Words that no occurrence leads to stay.
 
 A passage that very many documents share is one row a block in the shuffles, not one a document.
 The texts' one shuffle is the same exchange in all steps, and Spark reuses it.
@@ -83,7 +84,7 @@ def member(x: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 
 class Automata:
-    """Aho-Corasick automata over word numbers, in shards of bounded size."""
+    """Aho-Corasick automata over word numbers, in shards of bounded size; a phrase's value is its place."""
 
     def __init__(self, phrases: list[tuple[int, ...]]):
         import ahocorasick
@@ -91,14 +92,27 @@ class Automata:
         self.shards = []
         for i in range(0, len(phrases), SHARD):
             shard = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-            for phrase in phrases[i : i + SHARD]:
-                shard.add_word(phrase, 1)
+            for j, phrase in enumerate(phrases[i : i + SHARD], i):
+                shard.add_word(phrase, j)
             shard.make_automaton()
             self.shards.append(shard)
 
-    def ends(self, words: tuple[int, ...]) -> np.ndarray:
-        """Positions of the last words of all occurrences."""
-        return np.fromiter((end for shard in self.shards for end, _ in shard.iter(words)), dtype=np.int64)
+    def hits(self, words: tuple[int, ...]) -> np.ndarray:
+        """(position of the last word, phrase) of all occurrences."""
+        return np.array([hit for shard in self.shards for hit in shard.iter(words)], dtype=np.int64).reshape(-1, 2)
+
+
+def occurrences(words: np.ndarray, hits: np.ndarray, anchor: np.ndarray, confirmed: np.ndarray, span: int, gram: int) -> np.ndarray:
+    """Starts of the recurring windows that the hits lead to; anchor: the hash of each phrase, confirmed: its windows, as sorted pairs."""
+    windows = shingles(words, span, OTHER_POWERS)
+    first = hits[:, 0] - (gram - 1)
+    found = [np.zeros(0, np.int64)]
+    for back in range(span - gram + 1):  # the phrase may stand anywhere in the window
+        start = first - back
+        at = np.flatnonzero((start >= 0) & (start < len(windows)))
+        start = start[at]
+        found.append(start[member(pairs(anchor[hits[at, 1]], windows[start]), confirmed)])
+    return np.unique(np.concatenate(found))
 
 
 def remove(block: pa.Table, anchor: np.ndarray, window: np.ndarray, span: int, gram: int) -> pa.Table:
@@ -108,26 +122,19 @@ def remove(block: pa.Table, anchor: np.ndarray, window: np.ndarray, span: int, g
     covered: list[np.ndarray | None] = [None] * len(docs)
     if len(anchor):
         anchor_set, confirmed = np.unique(anchor), np.unique(pairs(anchor, window))
-        selected, phrases = [], {}
-        for words in docs:  # the phrases' words stand in the block's own documents
-            grams, at = anchors(words, span, gram)
-            selected.append(at)
-            used = np.unique(at)
-            for p in used[member(grams[used], anchor_set)].tolist():
-                phrases.setdefault(int(grams[p]), words[p : p + gram])
-        _, numbers = np.unique(np.concatenate(docs), return_inverse=True)
+        vocabulary, numbers = np.unique(np.concatenate(docs), return_inverse=True)
         cuts = np.cumsum([0, *map(len, docs)])
-        vocabulary = np.unique(np.concatenate(docs))
-        automata = Automata([tuple(np.searchsorted(vocabulary, p).tolist()) for p in phrases.values()])
+        phrases: dict[int, tuple[int, ...]] = {}
+        for k, words in enumerate(docs):  # the words of each phrase, from where it first stands
+            grams = shingles(words, gram)
+            for p in np.flatnonzero(member(grams, anchor_set)).tolist():
+                if (h := int(grams[p])) not in phrases:
+                    phrases[h] = tuple(numbers[cuts[k] + p : cuts[k] + p + gram].tolist())
+        automata, names = Automata(list(phrases.values())), np.array(list(phrases), dtype=np.uint64)
         for k, words in enumerate(docs):
-            if not len(selected[k]):
+            if len(words) < span:
                 continue
-            hit = np.zeros(len(words), dtype=bool)
-            hit[automata.ends(tuple(numbers[cuts[k] : cuts[k + 1]].tolist())) - (gram - 1)] = True
-            starts = np.flatnonzero(hit[selected[k]])
-            if len(starts):
-                grams = shingles(words, gram)[selected[k][starts]]
-                starts = starts[member(pairs(grams, shingles(words, span, OTHER_POWERS)[starts]), confirmed)]
+            starts = occurrences(words, automata.hits(tuple(numbers[cuts[k] : cuts[k + 1]].tolist())), names, confirmed, span, gram)
             if len(starts):
                 edge = np.zeros(len(words) + 1, dtype=np.int64)
                 edge[starts] += 1
@@ -154,13 +161,13 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, block_b
     """doc_id, n_words, n_removed, spans (word ranges that go), kept (the words left, joined by one space) of every row.
 
     Null and empty texts: 0 words.  A repeated row is another document, so its windows recur.  Null ids are kept.
-    Other columns are ignored.  A block has the documents of one hash value of doc_id.
+    Other columns are ignored.  A block has the documents of one hash value of doc_id and text; a text is never cut.
     """
     ready(docs.sparkSession)
     rows = documents(docs)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, math.ceil(size / block_bytes))
-    rows = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).alias("block"), "doc_id", "text")
+    rows = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block"), "doc_id", "text")
 
     def step_anchors(block: pa.Table) -> pa.Table:
         anchor, n = count_anchors(block, span, gram)
