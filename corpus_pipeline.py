@@ -44,7 +44,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced in their texts."""
-    return secrets.redact(docs, secrets.train(secrets.generated_findings(spark)))
+    words = secrets.dictionary(docs)
+    return secrets.redact(docs, secrets.train(secrets.generated_findings(spark, words), words), words)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontamination, langid, mixing, quality, secrets, similarity, substrings, tokens, toxicity
+from .oracle import ORACLE_SQL
 from .runtime import pick, table
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -49,7 +52,9 @@ def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each candidate; the candidate itself only as a digest."""
-    found = secrets.findings(table(spark, sf_dir, "documents"), secrets.train(secrets.generated_findings(spark)))
+    docs = table(spark, sf_dir, "documents")
+    words = secrets.dictionary(docs)
+    found = secrets.findings(docs, secrets.train(secrets.generated_findings(spark, words), words), words)
     return found.select("doc_id", "word_at", "run_at", F.length("candidate").alias("n_chars"), F.sha2("candidate", 256).alias("candidate_sha256"), "probability", "is_secret")
 
 
@@ -78,4 +83,3 @@ QUERIES = {
         op10_prefix_tokens,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
