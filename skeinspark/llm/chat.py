@@ -80,9 +80,10 @@ def trimmed(turns: list[Turn]) -> str:
     return "".join(f"{OPEN}{escape(r)}\n{escape('' if r == SPEAKER and i < last else t)}{CLOSE}" for i, (r, t) in enumerate(turns))
 
 
-def format_chats(conversations: DataFrame, render: Render = instruct, read: Callable[[str], tuple[str, int, int]] = read_instruct) -> DataFrame:
+def format_chats(conversations: DataFrame, render: Render = instruct, read: Callable[[str], tuple[str, int, int]] = read_instruct, plain: Callable[[str], str] = unescape) -> DataFrame:
     """conv_id, text, error, and turns (role, text, start, end, text_start, text_end, loss) of every conversation.
 
+    render makes the output of turns, read finds role and text in a turn's span, plain undoes the escapes of a text.
     Rows with equal conv_id are a conversation, in order of turn, then role, then text; nulls first.  A null role or text
     is empty; a null conv_id is a conversation.  start and end delimit the turn in the output, text_start and
     text_end its escaped text; loss is true for assistant texts.  If the template rewrites history, error says so and
@@ -111,7 +112,7 @@ def format_chats(conversations: DataFrame, render: Render = instruct, read: Call
                 out = []
                 for start, end in at:
                     role, a, b = read(text[start:end])
-                    out.append({"role": role, "text": unescape(text[start + a : start + b]), "start": start, "end": end, "text_start": start + a, "text_end": start + b, "loss": role == SPEAKER})
+                    out.append({"role": role, "text": plain(text[start + a : start + b]), "start": start, "end": end, "text_start": start + a, "text_end": start + b, "loss": role == SPEAKER})
                 found.append(out)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(errors, pa.string()), pa.array(found, pa.list_(turn))], names=["conv_id", "text", "error", "turns"])
 

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import cut, marked, ready
+from .runtime import bounded, cut, marked, ready
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -136,9 +136,8 @@ def dealt(rows: DataFrame) -> DataFrame:
 
     Rows of a group are numbered by partition, then inside each, so no task gets a group whole.
     """
-    even = rows.where((F.col("n") == 1) | (F.col("total") % F.col("n") == 0)).withColumn("copies", (F.col("total") / F.col("n")).cast("bigint"))
     keys = ["source", "place", "doc_id"]
-    odd = rows.where("n > 1 AND total % n <> 0").withColumn("__part", F.spark_partition_id())
+    odd = rows.withColumn("__part", F.spark_partition_id())
     odd = cut(odd.withColumn("__at", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(F.lit(0)))))
     held = odd.groupBy(*keys, "__part").agg(F.count("*").alias("held"))
     before = held.withColumn("before", F.sum("held").over(Window.partitionBy(*keys).orderBy("__part")) - F.col("held"))
@@ -147,8 +146,7 @@ def dealt(rows: DataFrame) -> DataFrame:
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"in_{k}"))
     more = F.col("before") + F.col("__at") <= F.col("total") % F.col("n")
-    odd = odd.join(before, same).withColumn("copies", (F.floor(F.col("total") / F.col("n")) + more.cast("int")).cast("bigint"))
-    return even.unionByName(odd.select(*even.columns))
+    return odd.join(before, same).withColumn("copies", (F.floor(F.col("total") / F.col("n")) + more.cast("int")).cast("bigint")).select(*rows.columns, "copies")
 
 
 ADDED = ("size", "source_size", "target", "rate", "copies", "taken")
@@ -172,7 +170,12 @@ def mix(docs: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIG
     groups = cut(rows.groupBy("source", "place", "doc_id", "size").agg(F.count("*").alias("n")))
     found = copies_of(groups, weights, cap).select(F.col("source").alias("of"), F.col("place").alias("of_place"), F.col("doc_id").alias("of_doc"), "n", "source_size", "target", "rate", "total")
     same = (F.col("place") == F.col("of_place")) & F.col("doc_id").eqNullSafe(F.col("of_doc")) & F.col("source").eqNullSafe(F.col("of"))
-    out = dealt(rows.join(found, same)).withColumn("taken", F.col("copies") * F.col("size"))
+    found = cut(found)
+    uneven = (F.col("n") > 1) & (F.col("total") % F.col("n") != 0)
+    out = rows.join(found.where(~uneven), same).withColumn("copies", (F.col("total") / F.col("n")).cast("bigint"))
+    if not (some := found.where(uneven)).isEmpty():  # only where rows repeat one another
+        out = out.unionByName(dealt(rows.join(bounded(some), same)))
+    out = out.withColumn("taken", F.col("copies") * F.col("size"))
     if whole:
         return out.select(*(c for _, c in own), *ADDED).toDF(*(n for n, _ in own), *ADDED)
     return out.select("doc_id", "source", "mark", *ADDED)

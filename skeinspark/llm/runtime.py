@@ -3,35 +3,25 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import BROADCAST_ROWS, bounded, checkpoints, ship
 
-#: Rows up to which a side may be broadcast, counted before the hint is given.
-BROADCAST_ROWS = 200_000
-#: Rows of an Arrow batch; documents are long, so fewer than Spark's 10,000.
-ARROW_ROWS = 512
+#: Rows of an Arrow batch; documents are long, so fewer than Spark's default.
+ARROW_ROWS, DEFAULT_ROWS = 512, "10000"
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Point checkpoints at the cluster's shared folder and size Arrow batches for long texts.
-
-    Where none is configured, a folder of our own is taken on one machine (a local master); on a cluster, which would not
-    see it, that is an error.
-    """
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="skein-checkpoint-"))
+    """Point checkpoints at the cluster's shared folder and, unless the session sets it, size Arrow batches for long texts."""
+    checkpoints(spark)
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == DEFAULT_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
     return spark
 
 
@@ -127,11 +117,6 @@ def lean(run):
     return wrapped
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, marked for broadcast if a count shows that it has at most so many rows; else as it is, for a shuffled join that AQE may split."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def let(value: Column, body) -> Column:
     """body(value) with value computed once; plain references would be inlined and computed again at each use."""
     return F.transform(F.array(value), body)[0]

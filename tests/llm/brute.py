@@ -63,6 +63,25 @@ def quality(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered), failed
 
 
+def line_verdicts(rows, max_docs=20, max_share=0.01, min_left=0.5):
+    """rows (doc_id, host, text) -> (kept, n_line_words, left) of each."""
+    norm = lambda x: " ".join(WORD.findall(x)).lower()
+    docs, seen = collections.defaultdict(set), collections.defaultdict(set)
+    for d, h, t in rows:
+        if t is not None:
+            docs[h].add((d, t))
+            for x in t.split("\n"):
+                if WORD.search(x):
+                    seen[h, norm(x)].add((d, t))
+    often = {k for k, v in seen.items() if len(v) > max_docs and len(v) > max_share * len(docs[k[0]])}
+    out = []
+    for d, h, t in rows:
+        left = "" if t is None else "\n".join(x for x in t.split("\n") if not WORD.search(x) or (h, norm(x)) not in often)
+        n, n_left = len(words(t)), len(words(left))
+        out.append((not quality(t)[-1] and n_left >= min_left * n and n_left >= 10, n - n_left, left))
+    return out
+
+
 def segments(scores):
     """Maximal scoring segments by the definition: take the best, then those left and right of it."""
     if not scores or max(scores) <= 0:

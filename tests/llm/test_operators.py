@@ -215,15 +215,28 @@ def test_line_frequency(spark):
     texts = [f"{words(rng, 30)}\n{menu.upper()}\n{words(rng, 30)}" for _ in range(30)]  # keep most of their words
     texts += [f"{menu}\n{words(rng, 8, 9999)}" for _ in range(5)]  # depleted
     copy = "\n".join(words(rng, 12) for _ in range(5))
-    texts += [copy] * 40  # copies count once
+    texts += [copy] * 15  # fewer than the limit
     got = {r.doc_id: r for r in quality.quality(frame(spark, texts)).collect()}
     assert all(got[i].n_line_words == 10 and got[i].kept for i in range(30))
     assert all(got[i].n_line_words == 10 and not got[i].kept and not got[i].base_failed for i in range(30, 35))
-    assert all(got[i].kept and got[i].n_line_words == 0 for i in range(35, 75))
+    assert all(got[i].kept and got[i].n_line_words == 0 for i in range(35, 50))
     other = quality.quality(frame(spark, texts, source=[f"h{i}" for i in range(len(texts))]))
     assert other.where("n_line_words > 0").count() == 0
 
 
+def test_verdicts_match_brute_force(spark, sf):
+    rng = random.Random(9)
+    lines = [words(rng, rng.randrange(1, 12), 30) for _ in range(40)]
+    rows = [(i, ("a", "b", None)[i % 3], "\n".join(rng.choice(lines) if rng.random() < 0.4 else words(rng, 9, 9999) + "\t " for _ in range(rng.randrange(9)))) for i in range(240)]
+    rows += [(900 + i, "a", rows[0][2]) for i in range(30)] + [rows[1]] * 40 + [(None, "a", "x y\n" + lines[0]), (None, "a", None), (5, None, " \n")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    table = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", "text")
+    for df in (docs, table):
+        every = [tuple(r) for r in df.collect()]
+        want = sorted((str(r[0]), *map(str, v)) for r, v in zip(every, brute.line_verdicts(every)))
+        assert sorted((str(r.doc_id), str(r.kept), str(r.n_line_words), str(r.left)) for r in quality.quality(df).collect()) == want
+
+
 def test_frequent_lines_are_taken_out(spark):
     rng = random.Random(14)
     menu = "home about contact terms privacy help"
@@ -259,7 +272,21 @@ def test_automata_in_shards(monkeypatch):
     monkeypatch.setattr(substrings, "SHARD", 7)
     many = substrings.Automata(phrases)
     text = tuple(random.Random(6).choices(range(55), k=200)) + tuple(range(20))
-    assert len(many.shards) == 8 and sorted(one.ends(text)) == sorted(many.ends(text)) and len(one.ends(text)) >= 18
+    assert len(many.shards) == 8 and sorted(map(tuple, one.hits(text))) == sorted(map(tuple, many.hits(text))) and len(one.hits(text)) >= 18
+
+
+def test_occurrences_come_from_the_automata(monkeypatch):
+    rng = random.Random(8)
+    shared = words(rng, 150, 9999)
+    block = pa.table({"doc_id": pa.array([1, 2, 3], pa.int64()), "text": [f"{words(rng, 20, 9999)} {shared}", f"{shared} {words(rng, 20, 9999)}", words(rng, 80, 9999)]})
+    anchor, _ = substrings.count_anchors(block, 35, 12)
+    a, b, n = substrings.count_windows(block, anchor, 35, 12)
+    run = lambda: substrings.remove(block, a[n > 1], b[n > 1], 35, 12).column("n_removed").to_pylist()
+    assert run() == [150, 150, 0]
+    hits = substrings.Automata.hits
+    for broken in (lambda self, w: hits(self, w)[:0], lambda self, w: hits(self, w)[:, [0, 1]] * [1, 0], lambda self, w: hits(self, w)[:1]):
+        monkeypatch.setattr(substrings.Automata, "hits", broken)
+        assert run() != [150, 150, 0]
 
 
 def test_repeats_edges(spark):
@@ -454,48 +481,101 @@ def test_mix_edges(spark):
 
 
 @pytest.fixture(scope="module")
-def forest(spark):
-    return secrets.train(secrets.generated_findings(spark))
+def dictionary(spark):
+    return secrets.dictionary(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+@pytest.fixture(scope="module")
+def forest(spark, dictionary):
+    return secrets.train(secrets.generated_findings(spark, dictionary), dictionary)
 
 
-def test_secrets(spark, forest):
+def test_secrets(spark, forest, dictionary):
     key = hashlib.sha1(b"k").hexdigest()
     texts = [f'see token = "{key}" there', f"commit {key} fixes it", "card 4242424242424242 used", "mail john.smith.1234@mail5.example.com now", f"PASSWORD = \"{key.upper()}\"!!", "/usr/lib/python3/dist-packages/a.html", None, "", f'x token = "{key}"\ny api_key={key}z']
-    rows = secrets.findings(frame(spark, texts), forest).collect()
+    rows = secrets.findings(frame(spark, texts), forest, dictionary).collect()
     assert {r.doc_id for r in rows if r.is_secret} == {0, 4, 8} and {r.doc_id for r in rows} >= {0, 1, 2, 3, 4, 5, 8}
-    out = {r.doc_id: r for r in secrets.redact(frame(spark, texts), forest).collect()}
+    out = {r.doc_id: r for r in secrets.redact(frame(spark, texts), forest, dictionary).collect()}
     assert out[0].text == 'see token = "[SECRET]" there' and out[0].n_chars == len(out[0].text) and out[1].text == texts[1] and out[6].text is None and key not in out[8].text
 
 
-def test_every_run_of_a_word_is_a_candidate(spark, forest):
+def test_every_run_of_a_word_is_a_candidate(spark, forest, dictionary):
     key, commit = hashlib.sha1(b"k").hexdigest(), hashlib.sha1(b"c").hexdigest()
     texts = [f'{{"aws_secret_access_key":"{key}"}}', f"https://api.example.com/v1/users?access_token={key}", f'{{"commit":"{commit}","token":"{key}"}}', f'{{"long_name_without_digit":"none","token":"{key}","more":["{key}"]}}']
-    rows = secrets.findings(frame(spark, texts), forest).collect()
+    rows = secrets.findings(frame(spark, texts), forest, dictionary).collect()
     assert sorted((r.doc_id, r.word_at, r.run_at, r.candidate) for r in rows) == [(0, 0, 1, key), (1, 0, 0, "//api.example.com/v1/users"), (1, 0, 1, f"access_token={key}"), (2, 0, 0, commit), (2, 0, 1, key), (3, 0, 1, key), (3, 0, 2, key)]
     judged = {(r.doc_id, r.run_at): r.is_secret for r in rows}
     assert {k for k, secret in judged.items() if secret} >= {(0, 1), (1, 1), (2, 1), (3, 1)} and not judged[1, 0] and not judged[2, 0], [(r.doc_id, r.run_at, r.probability) for r in rows]
-    out = {r.doc_id: r.text for r in secrets.redact(frame(spark, texts), forest).collect()}
+    out = {r.doc_id: r.text for r in secrets.redact(frame(spark, texts), forest, dictionary).collect()}
     assert not any(key in t for t in out.values()) and commit in out[2]
 
 
-def test_longer_secrets_go_first(spark, forest):
+def test_longer_secrets_go_first(spark, forest, dictionary):
     a, b = hashlib.sha1(b"a").hexdigest(), hashlib.sha1(b"b").hexdigest()
     text = f'token = "{a}" and secret = "{a}{b}" and key = "{b}"'
-    assert secrets.redact(frame(spark, [text]), forest).first().text == 'token = "[SECRET]" and secret = "[SECRET]" and key = "[SECRET]"'
+    assert secrets.redact(frame(spark, [text]), forest, dictionary).first().text == 'token = "[SECRET]" and secret = "[SECRET]" and key = "[SECRET]"'
 
 
-def test_forest_on_findings_it_has_not_seen(spark, forest):
+def test_forest_on_findings_it_has_not_seen(spark, forest, dictionary):
     from pyspark.ml.feature import VectorAssembler
 
-    rows = secrets.features(secrets.generated_findings(spark, 12_000).withColumn("n", F.monotonically_increasing_id()).where("n % 5 = 0"))
+    rows = secrets.features(secrets.generated_findings(spark, dictionary, 16_000).withColumn("n", F.monotonically_increasing_id()).where("n % 5 = 0"), dictionary)
     judged = forest.transform(VectorAssembler(inputCols=list(secrets.FEATURES), outputCol="features").transform(rows))
     assert judged.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0] > 0.95
 
 
-def test_secrets_edges(spark, forest):
+@pytest.mark.parametrize("kind", [0, 4, 13])
+def test_kinds_held_out(spark, dictionary, kind):
+    """A kind of finding that the forest has not learned from is judged by what it shares with others."""
+    from pyspark.ml.feature import VectorAssembler
+
+    every = secrets.generated_findings(spark, dictionary)
+    model = secrets.train(every.where(F.col("kind") != kind), dictionary)
+    rows = secrets.features(every.where(F.col("kind") == kind), dictionary)
+    judged = model.transform(VectorAssembler(inputCols=list(secrets.FEATURES), outputCol="features").transform(rows))
+    assert judged.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0] > 0.7
+
+
+def test_dictionary_counts_documents(spark):
+    texts = ["alpha Beta beta gamma2 ab"] * 2 + ["ALPHA beta"] * 3 + [None, "", "gamma naïve"]
+    got = {r.dictionary_word: r.docs for r in secrets.dictionary(frame(spark, texts), min_docs=5).collect()}
+    assert got == {w: 0 for w in secrets.PIECES} | {"alpha": 5, "beta": 5}
+    rows = frame(spark, ["x"]).selectExpr("explode(array('alphaBeta-12345678', 'ALPHA_zzz_alpha', '0123456789abcdef', 'alpha_beta')) AS candidate")
+    got = {r.candidate: round(r.f_dictionary, 3) for r in secrets.covered(rows, secrets.dictionary(frame(spark, texts), min_docs=5)).collect()}
+    assert got == {"alphaBeta-12345678": 0.5, "ALPHA_zzz_alpha": 0.667, "0123456789abcdef": 0.0, "alpha_beta": 0.9}
+
+
+def test_short_secrets_that_are_assigned(spark, forest, dictionary):
+    texts = ['password="hunter2pass" and more', "token = Xk29dkQw7Zp1", "the hunter2pass stays, as no one assigns it", 'secret: "QmvZkWpLtRsXnYqBdFgH"', "password field required below"]
+    out = {r.doc_id: r.text for r in secrets.redact(frame(spark, texts), forest, dictionary).collect()}
+    assert "hunter2pass" not in out[0] and "Xk29dkQw7Zp1" not in out[1] and out[2] == texts[2] and "QmvZ" not in out[3] and out[4] == texts[4], out
+
+
+def test_candidates_match_brute_force(spark):
+    rng = random.Random(12)
+    bits = ["token", "password", "=", ":", '"', "'", " ", " ", "\n", "abc", "key_1", "/", "0123456789", "QWERTYuiop", "-", ",", "{", "}", "commit", "é", "x" * 9]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(40))) for _ in range(300)] + [None, ""]
+    got = sorted((r.doc_id, r.word_at, r.run_at, r.candidate) for r in secrets.candidates(frame(spark, texts)).collect())
+    name = "(?i:" + "|".join(secrets.SECRET_WORDS) + ")"
+    given = name + r"[A-Za-z0-9_.\-]*" + secrets.QUOTES + "[:=]+>?" + secrets.QUOTES
+    want = []
+    for d, t in enumerate(texts):
+        w = brute.words(t)
+        for i, x in enumerate(w):
+            b, b2 = w[i - 1] if i else "", w[i - 2] if i > 1 else ""
+            ahead = re.search(name + r"[^A-Za-z0-9]*[:=]$", b) or (re.search("^[:=]+>?$", b) and re.search(name + "[^A-Za-z0-9]*$", b2))
+            runs = list(re.finditer(secrets.SHORT, x))
+            for j, m in enumerate(runs):
+                front = x[runs[j - 1].start() if j else 0 : m.start()]
+                assigned = (j == 0 and ahead) or re.search(given + "$", front) or re.search(given + "[^=]{8}", m[0])
+                want += [(d, i, j, m[0])] * bool(assigned or len(m[0]) >= 16 and re.search("[0-9]", m[0]))
+    assert got == sorted(want) and len(got) > 100
+
+
+def test_secrets_edges(spark, forest, dictionary):
     clash = runtime.pick(odd(spark), doc_id="bigint", text="string").selectExpr("doc_id", "text", "'k' AS candidate", "1 AS probability", "2 AS word")
-    assert secrets.findings(clash, forest).count() == 0 and secrets.findings(clash.limit(0), forest).count() == 0
-    plan = secrets.findings(clash, forest)._jdf.queryExecution().executedPlan().toString()
+    assert secrets.findings(clash, forest, dictionary).count() == 0 and secrets.findings(clash.limit(0), forest, dictionary).count() == 0
+    plan = secrets.findings(clash, forest, dictionary)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
@@ -533,7 +613,7 @@ def test_language_edges(spark):
 def counter():
     import public_tokenizers
 
-    return tokens.Counter(public_tokenizers.path(queries.TOKENIZER))
+    return tokens.counter_of(public_tokenizers.path(queries.TOKENIZER))
 
 
 @settings(max_examples=120, deadline=None)
@@ -547,6 +627,29 @@ def test_every_prefix(counter, text, budget):
     assert tokens.total(counter, text.encode()) == every[-1]
     best = tokens.longest_prefix(counter, text, ends, counts, budget)
     assert every[best] <= budget and (best == len(text) or counts[-1] > budget)
+    stored = [(0, 0), *zip(ends.tolist(), counts.tolist())]
+    assert tokens.within(ends, counts, budget) == max(x for x in stored if x[1] <= budget)
+    cut = tokens.windows(ends, counts, budget)
+    assert [a for a, _ in cut] == [0, *(b for _, b in cut)][: len(cut)] and (not stored[1:] or cut[-1][1] == ends[-1])
+    assert all(encode(text[a:b]) <= budget or len(text[a:b].encode().split()) == 1 for a, b in cut)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model", "word_bpe_49k.json"])
+def test_tokenizer_files(spark, sf, name):
+    import public_tokenizers
+
+    path = public_tokenizers.path(name)
+    one = tokens.counter_of(path)
+    assert getattr(one, "runs", False) == name.startswith("word")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60).collect()
+    texts = [r.text for r in docs] + ["", " ", "  a  b\n\nc ", "naïve café  中文 字<|endoftext|> <s>x</s>", None]
+    got = {r.doc_id: r for r in tokens.token_counts(frame(spark, texts), path, tables=True).collect()}
+    for i, t in enumerate(texts):
+        assert got[i].n_tokens == one.whole(t or "") == (got[i].prefix_tokens or [0])[-1]
+        for k in range(0, len(got[i].prefix_ends), 1 + len(got[i].prefix_ends) // 9):
+            assert one.whole(t[: got[i].prefix_ends[k]]) == got[i].prefix_tokens[k]
+    with pytest.raises(ValueError):
+        tokens.counter_of(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def test_token_counts(spark, sf, counter):
@@ -585,7 +688,7 @@ def test_memo_is_bounded(monkeypatch, counter):
     import public_tokenizers
 
     monkeypatch.setattr(tokens, "MEMO", 50)
-    small = tokens.Counter(public_tokenizers.path(queries.TOKENIZER))
+    small = tokens.counter_of(public_tokenizers.path(queries.TOKENIZER))
     runs = [f"word{i}" .encode() for i in range(200)] + [b"x" * 500]
     for i in range(0, 201, 20):
         assert small.count(runs[i : i + 20]) == counter.count(runs[i : i + 20])
