@@ -11,8 +11,8 @@ anywhere else.  Four steps, each over all documents, dealt into blocks of a boun
 3. Automata.  Every block compiles the phrases of the confirmed passages that occur in it into automata of at most
    ``SHARD`` phrases, each with the confirmed windows that it anchors, and streams each of its documents through
    them, so automata stay bounded and each document is streamed once, whatever the corpus.
-4. Every occurrence that an automaton reports names its phrase; the windows around it that the phrase has among its
-   confirmed ones are recurring windows, and their words go.  Words that no occurrence leads to stay.
+4. Every occurrence that an automaton reports names its phrase; the windows anchored there that the phrase has among
+   its confirmed ones are recurring windows, and their words go.  Words that no occurrence leads to stay.
 
 A passage that very many documents share is one row a block in the shuffles, not one a document.
 The texts' one shuffle is the same exchange in all steps, and Spark reuses it.
@@ -102,17 +102,18 @@ class Automata:
         return np.array([hit for shard in self.shards for hit in shard.iter(words)], dtype=np.int64).reshape(-1, 2)
 
 
-def occurrences(words: np.ndarray, hits: np.ndarray, anchor: np.ndarray, confirmed: np.ndarray, span: int, gram: int) -> np.ndarray:
-    """Starts of the recurring windows that the hits lead to; anchor: the hash of each phrase, confirmed: its windows, as sorted pairs."""
-    windows = shingles(words, span, OTHER_POWERS)
-    first = hits[:, 0] - (gram - 1)
-    found = [np.zeros(0, np.int64)]
-    for back in range(span - gram + 1):  # the phrase may stand anywhere in the window
-        start = first - back
-        at = np.flatnonzero((start >= 0) & (start < len(windows)))
-        start = start[at]
-        found.append(start[member(pairs(anchor[hits[at, 1]], windows[start]), confirmed)])
-    return np.unique(np.concatenate(found))
+def occurrences(words: np.ndarray, at: np.ndarray, hits: np.ndarray, phrases: np.ndarray, confirmed: np.ndarray, span: int, gram: int) -> np.ndarray:
+    """Starts of the recurring windows that the hits lead to.
+
+    at: where each window's anchor stands; phrases: the hash of each phrase; confirmed: its windows, as sorted pairs.  A window
+    recurs if the automata report a phrase at its anchor and the phrase has the window among its confirmed ones.
+    """
+    phrase = np.full(len(words), -1, dtype=np.int64)
+    phrase[hits[:, 0] - (gram - 1)] = hits[:, 1]
+    starts = np.flatnonzero(phrase[at] >= 0)
+    if not len(starts):
+        return starts
+    return starts[member(pairs(phrases[phrase[at[starts]]], shingles(words, span, OTHER_POWERS)[starts]), confirmed)]
 
 
 def remove(block: pa.Table, anchor: np.ndarray, window: np.ndarray, span: int, gram: int) -> pa.Table:
@@ -125,16 +126,19 @@ def remove(block: pa.Table, anchor: np.ndarray, window: np.ndarray, span: int, g
         vocabulary, numbers = np.unique(np.concatenate(docs), return_inverse=True)
         cuts = np.cumsum([0, *map(len, docs)])
         phrases: dict[int, tuple[int, ...]] = {}
+        selected = []
         for k, words in enumerate(docs):  # the words of each phrase, from where it first stands
-            grams = shingles(words, gram)
-            for p in np.flatnonzero(member(grams, anchor_set)).tolist():
+            grams, at = anchors(words, span, gram)
+            selected.append(at)
+            used = np.unique(at)
+            for p in used[member(grams[used], anchor_set)].tolist():
                 if (h := int(grams[p])) not in phrases:
                     phrases[h] = tuple(numbers[cuts[k] + p : cuts[k] + p + gram].tolist())
         automata, names = Automata(list(phrases.values())), np.array(list(phrases), dtype=np.uint64)
         for k, words in enumerate(docs):
-            if len(words) < span:
+            if not len(selected[k]):
                 continue
-            starts = occurrences(words, automata.hits(tuple(numbers[cuts[k] : cuts[k + 1]].tolist())), names, confirmed, span, gram)
+            starts = occurrences(words, selected[k], automata.hits(tuple(numbers[cuts[k] : cuts[k + 1]].tolist())), names, confirmed, span, gram)
             if len(starts):
                 edge = np.zeros(len(words) + 1, dtype=np.int64)
                 edge[starts] += 1
