@@ -23,6 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.frame import numbered
 from .runtime import bounded, cut, marked, ready
 
 WEIGHTS = (5, 2, 1)
@@ -40,10 +41,10 @@ def exact(x: Column, unit: int) -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """sizes (source, source_size), a row a source -> with target.  The table has one row a source, so one task ranks it."""
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
-    rows = cut(sizes.withColumn("weight", weight.cast("double")))
+    """sizes (source, source_size), a row a source -> with target.  Sources are ranked by ranges, so any number of them will do."""
+    ranked = numbered(sizes, "__place", F.col("source").asc_nulls_last())
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("__place") % len(weights) + 1).cast("int"))
+    rows = cut(ranked.select("source", "source_size", weight.cast("double").alias("weight")))
     total, open_weight = rows.agg(F.sum("source_size"), F.sum(F.when(F.col("source_size") > 0, F.col("weight")))).first()
     level, free = 0.0, float(total or 0)
     capped = -1

@@ -5,8 +5,9 @@ Tokens score their log-odds between toxic and clean training texts under an info
 drift, so the score of clean text falls.  One linear scan finds all maximal scoring segments of a text.
 Segment scores of clean text follow an extreme-value law whose decay solves ``E[exp(decay * score)] = 1``
 over clean tokens and whose scale is fitted to the clean training texts; the law turns scores into
-chances, sum statistics join the significant segments of a text, and a monotone fit on the training texts
-turns the text's evidence into the probability of label 1.
+chances, sum statistics join the significant segments of a text, and a monotone fit turns the text's evidence
+into the probability of label 1.  Scale and monotone fit see a training text only by a lexicon that the other
+folds have taught (FOLDS folds, by text), so neither is fitted on what the lexicon has learned by heart.
 
 The fit uses at most ``fit_rows`` labelled rows a class (those with the smallest hash of doc_id), a bound
 that does not follow the corpus; scoring covers every text whole.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .runtime import documents, held_out, lean, only, pick, ready, trim
 
-FIT_ROWS = 10_000
+FIT_ROWS, FOLDS = 10_000, 3
 #: Prior observations for each one seen, smallest z of a scoring token, cost of each token, smallest share of toxic tokens that a scoring token has.
 PRIOR, Z, DRIFT, MIN_SHARE = 0.1, 3.2, 0.25, 2e-6
 #: Expected number of as good segments in clean text, up to which a segment is significant.
@@ -90,7 +91,7 @@ class Model:
         """-ln of the chance that clean text has segments as good: the best of the sum statistics of the r best significant segments."""
         good = sorted((self.decay * s - math.log(self.scale * max(n, 1)) for *_, s in found if self.expected(n, s) <= E_MAX), reverse=True)
         best, total = 0.0, 0.0
-        for r, x in enumerate(good[:64], 1):  # further ones cannot matter: the evidence has long saturated
+        for r, x in enumerate(good, 1):
             total += x
             best = max(best, total - (r - 1) * math.log(max(total, 1.0)) + math.lgamma(r + 1) + math.lgamma(r))
         return best
@@ -147,60 +148,86 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         return Model()
     chosen = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows) for y in (0, 1)]
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * fit_rows rows of two numbers
-    sample = documents(docs).join(chosen, "doc_id").select("toxic", "text")
+    # copies of a text are in one fold
+    sample = documents(docs).join(chosen, "doc_id").select("toxic", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"), "text")
 
     def count(batches):
-        counts: dict[str, int] = {}  # documents of label 0 and 1 and tokens of label 0, packed
+        counts: dict[tuple[int, str], int] = {}  # documents of label 0 and 1 and tokens of label 0, packed
         for batch in batches:
-            for y, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for y, fold, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 for w, times in collections.Counter(tokens(text.as_py() or "")).items():
-                    counts[w] = counts.get(w, 0) + (1 << 24 * y) + ((1 - y) * times << 48)
+                    counts[fold, w] = counts.get((fold, w), 0) + (1 << 24 * y) + ((1 - y) * times << 48)
             if len(counts) > 40_000:
                 yield rows(counts)
                 counts = {}
         yield rows(counts)
 
     def rows(counts):
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array([n >> s & m for n in counts.values()], pa.int64()) for s, m in ((0, 0xFFFFFF), (24, 0xFFFFFF), (48, (1 << 62) - 1)))], names=["w", "c", "t", "m"])
+        return pa.RecordBatch.from_arrays([pa.array([w for _, w in counts], pa.string()), pa.array([f for f, _ in counts], pa.int32()), *(pa.array([n >> s & m for n in counts.values()], pa.int64()) for s, m in ((0, 0xFFFFFF), (24, 0xFFFFFF), (48, (1 << 62) - 1)))], names=["w", "fold", "c", "t", "m"])
 
     # a token counts once a text and a text once, so neither repetition inside a text nor copies make evidence
     distinct = sample.dropDuplicates(["toxic", "text"])
-    words = distinct.mapInArrow(lean(count), "w string, c bigint, t bigint, m bigint").groupBy("w").agg(*(F.sum(x).alias(x) for x in "ctm")).persist()
+    # sums over all folds but one, and over all: the last
+    views = range(FOLDS + 1)
+    sums = [F.sum(F.when(F.col("fold") != v, F.col(x)).otherwise(0)).alias(f"{x}{v}") for v in views for x in "ctm"]
+    words = distinct.mapInArrow(lean(count), "w string, fold int, c bigint, t bigint, m bigint").groupBy("w").agg(*sums).persist()
     try:
-        total = words.agg(*(F.sum(x).alias(x) for x in "ctm")).first()
-        nc, nt = float(total.c or 0), float(total.t or 0)
-        if not nc or not nt:
-            return Model()
-        prior = PRIOR * (nc + nt)
-        a = PRIOR * (F.col("c") + F.col("t"))
-        t, c = F.col("t") + a, F.col("c") + a
-        odds = F.log(t / (nt + prior - t)) - F.log(c / (nc + prior - c))
-        z = odds / F.sqrt(1 / t + 1 / c)
-        # at most 2 / MIN_SHARE tokens can pass
-        kept = words.select("w", "c", "t", "m", odds.alias("odds"), z.alias("z")).where((F.abs("z") >= Z) & ((F.col("t") >= MIN_SHARE * nt) & (F.col("odds") > 0) | (F.col("c") >= MIN_SHARE * nc) & (F.col("odds") < 0))).collect()
+        total = words.agg(*(F.sum(f"{x}{v}").alias(f"{x}{v}") for v in views for x in "ctm")).first()
+        picked, keep = [], F.lit(False)
+        for v in views:
+            nc, nt = float(total[f"c{v}"] or 0), float(total[f"t{v}"] or 0)
+            if not nc or not nt:
+                if v == FOLDS:
+                    return Model()
+                picked.append(F.lit(None).cast("double").alias(f"odds{v}"))
+                continue
+            prior = PRIOR * (nc + nt)
+            a = PRIOR * (F.col(f"c{v}") + F.col(f"t{v}"))
+            t, c = (F.nullif(F.col(f"{x}{v}") + a, F.lit(0.0)) for x in "tc")  # null where the view has no such token
+            odds = F.log(t / (nt + prior - t)) - F.log(c / (nc + prior - c))
+            z = odds / F.sqrt(1 / t + 1 / c)
+            # at most 2 / MIN_SHARE tokens can pass
+            often = (F.col(f"t{v}") >= MIN_SHARE * nt) & (odds > 0) | (F.col(f"c{v}") >= MIN_SHARE * nc) & (odds < 0)
+            good = (F.abs(z) >= Z) & often & (F.col(f"c{v}") + F.col(f"t{v}") > 0)
+            keep = keep | F.coalesce(good, F.lit(False))
+            picked.append(F.when(good, odds).alias(f"odds{v}"))
+        kept = words.where(keep).select("w", *(f"m{v}" for v in views), *picked).collect()
     finally:
         words.unpersist()
-    model = Model(weights={r.w: r.odds for r in kept})
-    if not any(s > DRIFT for s in model.weights.values()):
+
+    def model_of(v: int) -> Model:
+        own = [(r.w, r[f"odds{v}"], r[f"m{v}"]) for r in kept if r[f"odds{v}"] is not None]
+        model = Model(weights={w: x for w, x, _ in own})
+        if any(x > DRIFT for x in model.weights.values()):
+            gains = np.array([x for _, x, _ in own] + [0.0]) - DRIFT
+            rest = max(0, (total[f"m{v}"] or 0) - sum(m for *_, m in own))
+            shares = np.array([m + 0.5 for *_, m in own] + [rest])  # half a sighting more, for tokens that clean texts lack
+            model.decay = decay_of(gains, shares / shares.sum())
+        else:
+            model.weights = {}
+        return model
+
+    models = [model_of(v) for v in views]
+    model = models[FOLDS]
+    if not model.weights:
         return Model()
-    gains = np.array([r.odds for r in kept] + [0.0]) - DRIFT
-    shares = np.array([r.m + 0.5 for r in kept] + [total.m - sum(r.m for r in kept)])  # half a sighting more, for tokens that clean texts lack
-    shares = shares / shares.sum()
-    model.decay = decay_of(gains, shares)
-    held = spark.sparkContext.broadcast(model)
+    held = spark.sparkContext.broadcast(models)
 
     def scan(batches):
-        model = held.value
+        models = held.value
         for batch in batches:
-            found = [model.scan(x.as_py()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in found], pa.int64()), pa.array([[s for *_, s in x] for _, x in found], pa.list_(pa.float64()))], names=["toxic", "n", "scores"])
+            # a text is scanned with what the other folds' texts have taught
+            found = [models[f].scan(x.as_py()) for f, x in zip(batch.column(1).to_pylist(), batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([n for n, _ in found], pa.int64()), pa.array([[s for *_, s in x] for _, x in found], pa.list_(pa.float64()))], names=["toxic", "fold", "n", "scores"])
 
-    seen = sample.mapInArrow(lean(scan), "toxic int, n bigint, scores array<double>").collect()  # at most 2 * fit_rows documents
-    clean = [(r.n, max(r.scores, default=0.0)) for r in seen if r.toxic == 0 and r.n]
+    seen = sample.mapInArrow(lean(scan), "toxic int, fold int, n bigint, scores array<double>").collect()  # at most 2 * fit_rows documents
+    clean = [(r.n, models[r.fold].decay * max(r.scores, default=0.0)) for r in seen if r.toxic == 0 and r.n]
     # with the decay known, the likeliest scale of maxima that follow exp(-scale * n * exp(-decay * score))
-    model.scale = min(1.0, max(1e-6, len(clean) / max(1e-9, sum(n * math.exp(-model.decay * s) for n, s in clean))))
+    model.scale = min(1.0, max(1e-6, len(clean) / max(1e-9, sum(n * math.exp(-s) for n, s in clean))))
+    for m in models:
+        m.scale = model.scale
     used = {y: sum(r.toxic == y for r in seen) for y in (0, 1)}
-    x = np.array([model.evidence(r.n, [(0, 0, s) for s in r.scores]) for r in seen])
+    x = np.array([models[r.fold].evidence(r.n, [(0, 0, s) for s in r.scores]) for r in seen])
     y = np.array([r.toxic for r in seen], dtype=float)
     w = np.array([size[r.toxic] / used[r.toxic] for r in seen])
     model.steps = monotone(x, y, w)
