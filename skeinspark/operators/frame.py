@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.base import col, present
-from ..session import shipped
+from ..session import checkpointed, shipped
 
 # ---- columns -------------------------------------------------------------------------------------------------------
 
@@ -143,9 +143,23 @@ def sort_by(df: DataFrame, *names: str, descending: bool = False) -> DataFrame:
     return df.orderBy(*[F.col(c).desc_nulls_first() if descending else F.col(c).asc_nulls_last() for c in names])
 
 
+def numbered(df: DataFrame, out: str, *order: Column, total: str | None = None) -> DataFrame:
+    """df with each row's place (from 0) in an order, or with the sum of ``total`` up to each row.
+
+    Rows are dealt by ranges, each range is numbered by itself and begins where those before it end, so no task gets all rows.
+    """
+    parts = checkpointed(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    one = F.col(total) if total else F.lit(1).cast("bigint")
+    own = F.sum(one).over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    sizes = parts.groupBy(F.col("__part").alias("__of")).agg(F.sum(one).alias("__size"))  # a row a range
+    before = sizes.select("__of", (F.sum("__size").over(Window.orderBy("__of")) - F.col("__size")).alias("__before"))
+    rows = parts.withColumn("__own", own).join(F.broadcast(before), F.col("__part") == F.col("__of"))
+    return rows.select(*df.columns, (F.col("__before") + F.col("__own") - (0 if total else 1)).alias(out))
+
+
 def argsort(df: DataFrame, name: str, tie: str, out: str = "rank") -> DataFrame:
     """Place (from 0) of each row in the order of a column, nulls last."""
-    return df.withColumn(out, F.row_number().over(Window.orderBy(F.col(name).asc_nulls_last(), tie)) - 1)
+    return numbered(df, out, F.col(name).asc_nulls_last(), F.col(tie).asc())
 
 
 def head(df: DataFrame, n: int, *order: str) -> DataFrame:
@@ -171,7 +185,7 @@ def concat_rows(frames: Iterable[DataFrame]) -> DataFrame:
 
 def concat_columns(left: DataFrame, right: DataFrame, order: str) -> DataFrame:
     """Columns side by side, rows paired by their place in the order column; right's columns win."""
-    number = lambda df: df.withColumn("__at", F.row_number().over(Window.orderBy(order)))
+    number = lambda df: numbered(df, "__at", F.col(order).asc())
     kept = [c for c in left.columns if c not in right.columns]
     return number(left).select(*kept, "__at").join(number(right), "__at").drop("__at")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import OTHER, TIERS, action, bucket_type, entity_key, is_entity_label, keeps, label_kind, service_name, tier
 from ..functions.names import detected_type, metric_family, metric_type
 from .aggregates import counter_rates
+from .frame import numbered
 
 TOP_N = 20
 #: Shares in which a label's values are ranked.
@@ -124,9 +125,8 @@ def unique_labels(found: DataFrame) -> DataFrame:
 def coverage(counts: DataFrame, share: float = 0.8, vip: Sequence[str] = ()) -> DataFrame:
     """value, n, covered: vip values, then the most frequent ones until they cover the share."""
     first = F.col("value").isin(*vip) if vip else F.lit(False)
-    over = Window.orderBy(first.desc(), F.desc("n"), "value")
     whole = counts.agg(F.sum("n").alias("total"))
-    rows = counts.withColumn("upto", F.sum("n").over(over.rowsBetween(Window.unboundedPreceding, 0))).join(F.broadcast(whole))
+    rows = numbered(counts, "upto", first.desc(), F.desc("n"), F.col("value").asc(), total="n").join(F.broadcast(whole))
     return rows.where(((F.col("upto") - F.col("n")) / F.col("total") < share) | first).select("value", "n", (F.col("upto") / F.col("total")).alias("covered"))
 
 

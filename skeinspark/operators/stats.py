@@ -71,7 +71,12 @@ def zscore_anomaly(value: Column | str, keys: Sequence[str], threshold: float =
 def regime_metadata(df: DataFrame, series: Sequence[str] = ("metric", "labels_key")) -> DataFrame:
     """duration_seconds, step_seconds (median distance of distinct timestamps), series."""
     at = df.select(epoch_seconds("timestamp").alias("t")).distinct()
-    steps = at.select((F.col("t") - F.lag("t").over(Window.orderBy("t"))).alias("d")).where("d IS NOT NULL").agg(F.percentile("d", 0.5).alias("step_seconds"))
+    # distances inside a day, and from a day's last time to the next one's first: no task sorts all times
+    days = at.withColumn("day", F.floor(F.col("t") / 86400))
+    inside = days.select((F.col("t") - F.lag("t").over(Window.partitionBy("day").orderBy("t"))).alias("d"))
+    edges = days.groupBy("day").agg(F.min("t").alias("first"), F.max("t").alias("last"))
+    between = edges.select((F.col("first") - F.lag("last").over(Window.orderBy("day"))).alias("d"))
+    steps = inside.unionByName(between).where("d IS NOT NULL").groupBy("d").agg(F.count("*").alias("n")).agg(F.percentile("d", F.lit(0.5), F.col("n")).alias("step_seconds"))
     whole = at.agg((F.max("t") - F.min("t")).alias("duration_seconds"))
     return whole.join(F.broadcast(steps)).join(F.broadcast(df.select(*series).distinct().agg(F.count("*").alias("series"))))
 
@@ -123,48 +128,63 @@ def histogram_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rises.groupBy(*keys).applyInPandas(fit, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", mu double, sigma double, per_step double")
 
 
-def shrunk_covariance(x: np.ndarray) -> np.ndarray:
-    """Covariance of the columns, shrunk towards its scaled identity by the amount that the data's own spread tells (Ledoit and Wolf 2004)."""
-    x = x - x.mean(axis=0)
-    n, p = x.shape
-    s = x.T @ x / n
+def shrunk(s: np.ndarray, fourth: float, n: int) -> np.ndarray:
+    """A covariance shrunk towards its scaled identity by the amount that the data's own spread tells (Ledoit and Wolf 2004).
+
+    fourth: the sum over n centred rows of their squared length, squared; the rows' distances from s follow from it.
+    """
+    p = len(s)
     mu = np.trace(s) / p
     target = mu * np.eye(p)
     distance = ((s - target) ** 2).sum() / p
     if distance <= 0:
         return target
-    noise = sum(((np.outer(r, r) - s) ** 2).sum() for r in x) / (n * n * p)
-    share = min(1.0, noise / distance)
+    noise = (fourth - n * (s**2).sum()) / (n * n * p)
+    share = min(1.0, max(0.0, noise) / distance)
     return share * target + (1 - share) * s
 
 
-def service_covariance(df: DataFrame, service: str = "service", series: str = "series") -> DataFrame:
+def shrunk_covariance(x: np.ndarray) -> np.ndarray:
+    """shrunk of the columns' covariance."""
+    x = x - x.mean(axis=0)
+    return shrunk(x.T @ x / len(x), float(((x * x).sum(axis=1) ** 2).sum()), len(x))
+
+
+def service_covariance(df: DataFrame, service: str = "service", series: str = "series", chunk: int = 4096) -> DataFrame:
     """service, series (sorted), covariance (rows): counters as rises, gauges as values, trimmed to the shortest series.
 
-    df: service, series, is_counter, timestamp, value. A service's series are one group; it has as many rows as its profile needs.
+    df: service, series, is_counter, timestamp, value.  Series of under 3 values are left out.  Sums of products are made of
+    ``chunk`` times of a service at a time and added up, so no task gets a service's samples whole; the covariance of what a
+    service has is shrunk as shrunk_covariance does it.
     """
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = {}
-        for name, rows in pdf.sort_values("timestamp").groupby(series):
-            v = rows["value"].to_numpy(float)
-            if rows["is_counter"].iloc[0]:
-                d = np.diff(v)
-                v = np.clip(np.where(d < 0, v[1:], d), 0, None)
-            if len(v) > 2:
-                parts[name] = v
-        names = sorted(parts)
-        if not names:
-            return pd.DataFrame({service: [], "series": [], "covariance": []})
-        length = min(len(v) for v in parts.values())
-        x = np.stack([parts[n][:length] for n in names], axis=1)
-        try:
-            cov = shrunk_covariance(x)
-        except (ValueError, FloatingPointError):
-            cov = np.diag(x.var(axis=0))
-        return pd.DataFrame({service: [pdf[service].iloc[0]], "series": [names], "covariance": [cov.tolist()]})
-
-    return shipped(df).groupBy(service).applyInPandas(one, f"{service} string, series array<string>, covariance array<array<double>>")
+    over = Window.partitionBy(service, series).orderBy("timestamp")
+    step = F.col("value") - F.lag("value").over(over)
+    rise = F.greatest(F.when(step < 0, F.col("value")).otherwise(step), F.lit(0.0))
+    rows = df.withColumn("__v", F.when(F.col("is_counter"), F.when(step.isNotNull(), rise)).otherwise(F.col("value"))).where("__v IS NOT NULL")
+    rows = rows.select(service, series, "__v", (F.row_number().over(over) - 1).alias("__i"))
+    lengths = rows.groupBy(service, series).agg(F.count("*").alias("n")).where("n > 2")
+    shortest = lengths.groupBy(F.col(service).alias("__of")).agg(F.min("n").alias("__n"), F.sort_array(F.collect_list(series)).alias("__names"))
+    rows = rows.join(lengths.select(F.col(service).alias("__s"), F.col(series).alias("__r")), (F.col(service) == F.col("__s")) & (F.col(series) == F.col("__r")))
+    rows = rows.join(shortest, F.col(service) == F.col("__of")).where("__i < __n")
+    means = rows.groupBy(F.col(service).alias("__ms"), F.col(series).alias("__mr")).agg(F.avg("__v").alias("__mean"))
+    rows = rows.join(means, (F.col(service) == F.col("__ms")) & (F.col(series) == F.col("__mr")))
+    rows = rows.select(F.col(service), F.col(series), (F.col("__v") - F.col("__mean")).alias("v"), F.col("__i").alias("i"), F.floor(F.col("__i") / chunk).alias("part"))
+
+    def products(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = pdf.pivot(index="i", columns=series, values="v").sort_index(axis=1).to_numpy(float)
+        return pd.DataFrame({service: [pdf[service].iloc[0]], "products": [(x.T @ x).ravel()], "fourth": [float(((x * x).sum(axis=1) ** 2).sum())], "n": [len(x)]})
+
+    parts = shipped(rows).groupBy(service, "part").applyInPandas(products, f"{service} string, products array<double>, fourth double, n bigint")
+    cells = parts.select(service, F.posexplode("products").alias("at", "x")).groupBy(service, "at").agg(F.sum("x").alias("x"))
+    sums = cells.groupBy(service).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda c: c["x"]).alias("products"))
+    sizes = parts.groupBy(service).agg(F.sum("fourth").alias("fourth"), F.sum("n").alias("n"))
+    names = shortest.select(F.col("__of").alias(service), F.col("__names").alias("series"))
+
+    @F.pandas_udf("array<array<double>>")
+    def shrink(products: pd.Series, fourth: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([shrunk(np.asarray(s, dtype=float).reshape(round(len(s) ** 0.5), -1) / k, f, k).tolist() for s, f, k in zip(products, fourth, n)])
+
+    return sums.join(sizes, service).join(names, service).select(service, "series", shrink("products", "fourth", "n").alias("covariance"))
 
 
 def load_statistics(df: DataFrame, payload: str = "payload") -> DataFrame:
