@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinspark.llm import decontamination, mixing, secrets, similarity, toxicity
-from skeinspark.llm.runtime import bounded, cut, marked, ready, scratch, table
+from skeinspark.llm.runtime import bounded, cut, marked, ready, remove, scratch, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text scores below the threshold; the model is learned from the stage's own documents."""
+    """Documents whose text scores below the threshold; the model is learned from the stage's own documents.
+
+    Null, empty and very long texts are scored like any other, whole; repeated rows fare alike; without labels all stay; an
+    empty table stays empty.  Columns are taken by their exact names and all are returned, clashing ones too.
+    """
     return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -38,18 +42,31 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    Null and empty texts stay; very long texts are searched whole; repeated rows fare alike; an empty benchmark takes nothing,
+    and an empty table stays empty.  All columns are returned, clashing ones too.
+    """
     return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced in their texts."""
+    """All documents, with secrets replaced in their texts, the longest first, and n_chars brought up to date.
+
+    Null and empty texts stay as they are; very long texts are scanned whole; repeated rows change alike; an empty table stays
+    empty.  All columns are returned, clashing ones too.
+    """
     words = secrets.dictionary(docs)
     return secrets.redact(docs, secrets.train(secrets.generated_findings(spark, words), words), words)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, text and all, with the copies of each that the mix takes (0 to 3) and their words."""
+    """All documents, text and all, with the copies of each that the mix takes (0 to 3) and their words.
+
+    Null and empty texts have no words, one copy and take nothing; rows that repeat one another get as many copies, up to
+    one; a null source is a source, the last; an empty table stays empty.  A column whose name equals an added one, up to
+    case, gives way to it.
+    """
     return mixing.mix(docs, whole=True)
 
 
@@ -66,10 +83,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage.  A stage's table goes once the next one's is written; the last is needed by what is returned."""
     ready(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, done = table(spark, sf_dir, "documents"), None
     folder = f"{scratch(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        if done:
+            remove(spark, done)
+        done = f"{folder}/{name}"
+        docs = spark.read.parquet(done)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -30,6 +30,12 @@ def scratch(spark: SparkSession) -> str:
     return ready(spark).sparkContext._jsc.sc().getCheckpointDir().get()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that a job has written for itself, in whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute df once and cut its lineage with a checkpoint in the shared folder, which survives lost executors."""
     ready(df.sparkSession)

@@ -1,6 +1,8 @@
+import collections
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -338,6 +340,13 @@ def test_chat_edges(spark):
     assert chat.format_chats(rows.limit(0)).count() == 0
 
 
+def test_long_conversations(spark):
+    rows = [(1, i, ("user", "assistant")[i % 2], f"turn {i} [INST] </s>") for i in range(3000)] + [(2, 0, "assistant", "x " * 500_000), (2, 0, "assistant", "x " * 500_000)]
+    got = {r.conv_id: r for r in chat.digests(chat.format_chats(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))).collect()}
+    assert got[1].n_turns == 3000 and got[1].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows[:3000]).encode()).hexdigest()
+    assert got[1].loss_chars == sum(len(t) for _, _, r, t in rows[:3000] if r == "assistant") and got[2].loss_chars == 2_000_000
+
+
 # ---- 6 similarity ---------------------------------------------------------------------------------------------------
 
 
@@ -597,6 +606,30 @@ def test_filter_has_no_false_negatives():
     assert (model.false_rate < 0.02).all()
 
 
+def test_languages_by_exact_sets(spark):
+    """Predictions by exact sets of n-grams, counted here, instead of the bit-sliced filters."""
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    held = lambda r: zlib.crc32(str(r.doc_id).encode()) % 4 == 2
+    counts = {}
+    for r in rows:
+        if not held(r) and r.text is not None and r.lang is not None:
+            counts.setdefault(r.lang, collections.Counter()).update(langid.trigrams(r.text).tolist())
+    total = {x: sum(c.values()) for x, c in counts.items()}
+    sets = {x: {g for g, n in c.items() if n >= langid.SHARE * total[x]} for x, c in counts.items()}
+    got = {r.doc_id: r for r in langid.learn_and_identify(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    same = off = n = 0
+    for r in rows:
+        grams = langid.trigrams(r.text or "").tolist()
+        assert got[r.doc_id].held_out == held(r)
+        if not grams:
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        share = {x: sum(g in s for g in grams) / len(grams) for x, s in sets.items()}
+        best = max(share, key=lambda x: (share[x], total[x]))
+        n, same, off = n + 1, same + (best == got[r.doc_id].lang_pred), off + abs(share[best] - got[r.doc_id].score)
+    assert same >= 0.995 * n and off / n < 0.01, (same, n, off / n)
+
+
 def test_language_edges(spark):
     got = {r.doc_id: r for r in langid.learn_and_identify(odd(spark)).collect()}
     assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (1, 2, 3)) and got[5].lang_pred in ("fr", "en") and 0 <= got[5].score <= 1
