@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import bounded, cut, documents, let, ready
+from .runtime import BROADCAST_ROWS, bounded, cut, documents, let, ready
 
 BLANKS = r"[\x20\x09-\x0D]+"
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -109,7 +109,9 @@ def quality(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, max
     often = bounded(often)
     hits = found.join(often, F.col("host").eqNullSafe(F.col("often_host")) & (F.col("line") == F.col("often_line")))
     lost = hits.groupBy("host", "mark").agg(F.collect_set("line").alias("lines")).toDF("lost_host", "lost_mark", "lines")
-    lost = bounded(cut(lost))
+    lost = cut(lost)
+    if lost.agg(F.coalesce(F.sum(1 + F.size("lines")), F.lit(0))).first()[0] <= BROADCAST_ROWS:  # texts and their lines together
+        lost = F.broadcast(lost)
     out = base_rules(marked).join(lost, F.col("host").eqNullSafe(F.col("lost_host")) & (F.col("mark") == F.col("lost_mark")), "left")
     out = out.withColumn("left", F.when(F.col("lines").isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col("lines"))))
     out = out.withColumn("n_left", F.when(F.col("lines").isNull(), F.col("n_words")).otherwise(F.regexp_count("left", F.lit(WORDS)).cast("bigint")))
