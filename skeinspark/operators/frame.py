@@ -208,9 +208,21 @@ def pivot(df: DataFrame, index: Sequence[str], names: str, value: str, features:
     return df.where(v.isNotNull()).groupBy(*index).pivot(names, list(features)).agg(agg)
 
 
+#: Columns that a wide table may have; beyond them the long form is the one to use.
+MAX_FEATURES = 50_000
+
+
+def few(df: DataFrame, most: int, what: str) -> list:
+    """The rows of df on the driver; more than ``most`` are an error."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} {what}")
+    return rows
+
+
 def features_of(df: DataFrame, names: str, extra: Iterable[str] = ()) -> list[str]:
-    """Sorted feature names, those in the data and others; one small job. They are columns of the result, so their number is bounded by it."""
-    return sorted({r[0] for r in df.select(names).distinct().collect()} | set(extra))
+    """Sorted feature names, those in the data and others; one small job. They are columns of the result: more than MAX_FEATURES are an error."""
+    return sorted({r[0] for r in few(df.select(names).distinct(), MAX_FEATURES, "features: use the long form")} | set(extra))
 
 
 def melt(df: DataFrame, ids: Sequence[str], names: str = "feature", value: str = "value") -> DataFrame:

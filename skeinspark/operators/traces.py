@@ -91,8 +91,10 @@ def red_metrics(spans: DataFrame, start: Column, step_seconds: float, steps: int
     """
     index = F.least(F.floor((epoch_seconds("start_time") - epoch_seconds(start)) / step_seconds), F.lit(steps - 1)).cast("int")
     rows = spans.withColumn("step", index).where("step >= 0")
-    quantiles = F.percentile(F.col("duration_us") / 1000, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    cells = rows.groupBy("step", "service_name").agg(F.count("*").alias("n"), F.sum(is_error_span("status_code", "tags").cast("bigint")).alias("bad"), quantiles.alias("q"))
+    # equal durations are counted first, so a cell's quantiles come from distinct durations with their counts
+    each = rows.groupBy("step", "service_name", "duration_us").agg(F.count("*").alias("n"), F.sum(is_error_span("status_code", "tags").cast("bigint")).alias("bad"))
+    quantiles = F.percentile(F.col("duration_us") / 1000, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)), F.col("n"))
+    cells = each.groupBy("step", "service_name").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), quantiles.alias("q"))
     grid = cells.groupBy("service_name").agg(F.min("step").alias("first")).select("service_name", F.explode(F.sequence("first", F.lit(steps - 1))).alias("step"))
     over = Window.partitionBy("service_name").orderBy("step")
     return grid.join(cells, ["service_name", "step"], "left").select(
@@ -123,7 +125,8 @@ def sibling_relation(spans: DataFrame, least: float = 0.3) -> DataFrame:
     before = lambda c: F.lag(c).over(over)
     shared = F.greatest(F.lit(0.0), F.least("end", before("end")) - F.greatest("start", before("start")))
     part = F.try_divide(shared, F.least(F.col("duration_us"), before("duration_us")))
-    found = rows.withColumn("share", part).where("share IS NOT NULL").groupBy("parent_service", "parent_operation").agg(F.percentile("share", 0.5).alias("overlap"))
+    each = rows.withColumn("share", part).where("share IS NOT NULL").groupBy("parent_service", "parent_operation", "share").agg(F.count("*").alias("n"))
+    found = each.groupBy("parent_service", "parent_operation").agg(F.percentile("share", F.lit(0.5), F.col("n")).alias("overlap"))
     return found.withColumn("relation", F.when(F.col("overlap") > least, "parallel").otherwise("sequential"))
 
 

@@ -345,11 +345,6 @@ def W16_gap_fractions(spark, sf_dir):
     return J.gap_fractions(spans(spark, sf_dir)).select("trace_id", r6("gap_fraction").alias("gap"))
 
 
-@query()
-def W15_sibling_relation(spark, sf_dir):
-    return J.sibling_relation(spans(spark, sf_dir))
-
-
 @query()
 def L1_signatures(spark, sf_dir):
     return J.signatures(spans(spark, sf_dir))
@@ -428,11 +423,6 @@ def A30_emission_rates(spark, sf_dir):
     return G.emission_rates(logs(spark, sf_dir), s).select(F.col("service_name").alias("service"), F.col("operation_name").alias("operation"), "logs", r6("rate").alias("rate"))
 
 
-@query()
-def L7_log_profile(spark, sf_dir):
-    return G.log_profile(logs(spark, sf_dir), spans(spark, sf_dir).where("parent_span_id IS NULL"))
-
-
 # ---- sinks ---------------------------------------------------------------------------------------------------------
 
 
@@ -565,11 +555,6 @@ def F11_salient_metrics(spark, sf_dir):
     return P.salient_metrics(metric_names(spark)).select("metric")
 
 
-@query()
-def F13_explain_salient(spark, sf_dir):
-    return P.explain_salient(metric_names(spark))
-
-
 @query("SELECT unnest(['http_server', 'go', 'redis', 'app_cart', 'kafka_consumer', 'plain', 'db_client']) AS prefix")
 def F12_broad_prefix(spark, sf_dir):
     return metric_names(spark).select(P.broad_prefix(N.metric_family("metric")).alias("prefix")).distinct()
@@ -896,13 +881,6 @@ def A31_completeness(spark, sf_dir):
     return Q.column_completeness(o, ["o_clerk", "o_orderkey"]).select("column", r6("completeness").alias("completeness"))
 
 
-@query()
-def A36_attribute_kinds(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    pairs = F.array(F.struct(F.lit("type").alias("key"), F.col("event_type").alias("value")), F.struct(F.lit("amount").alias("key"), F.col("value").cast("string").alias("value")), F.struct(F.lit("same").alias("key"), F.lit("x").alias("value")))
-    return Q.attribute_kinds(e.select(F.explode(pairs).alias("p")).select("p.*"))
-
-
 @query(f"""WITH {RAW}, {DAYS}, b AS (SELECT *, lag(x) OVER w AS before, CAST(row_number() OVER w - 1 AS DOUBLE) AS pos FROM days WINDOW w AS (PARTITION BY entity_key ORDER BY us)),
 m AS (SELECT entity_key, avg(x) AS mu FROM days GROUP BY 1)
 SELECT entity_key, count(*) AS n, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, round(avg((x - mu) ** 3) / power(avg((x - mu) ** 2), 1.5), 6) AS skew, round(avg((x - mu) ** 4) / power(avg((x - mu) ** 2), 2) - 3, 6) AS kurt,

@@ -17,7 +17,7 @@ from ..functions.routes import parameterize_route
 from ..functions.status import CORE, status_bucket
 from ..operators.aggregates import described, long_features
 from ..operators.filters import by_service, salient_metrics
-from ..operators.frame import align_columns, features_of, pivot
+from ..operators.frame import align_columns, features_of, few, pivot
 from ..operators.windows import delta_features, tumbling
 from ..session import bounded, checkpointed
 
@@ -25,6 +25,8 @@ from ..session import bounded, checkpointed
 FORCE_DROP = ("otel_scope_name", "otel_scope_version", "telemetry_sdk_language", "telemetry_sdk_name", "telemetry_sdk_version")
 #: Distinct label names and schema rules up to which the rewrite is one expression.
 MAX_RULES = 400
+#: Rules, and label names, that the driver takes.
+MAX_SCHEMA = 200_000
 
 
 @dataclass
@@ -72,8 +74,8 @@ class Rule:
 
 
 def rules_of(schema: DataFrame) -> dict[tuple[str, str], Rule]:
-    """Rules by (family, label) of a schema table; one row a label of a family, not of a sample."""
-    return {(r.family, r.label): Rule(r.action, r.bucket_type, tuple(r.top_values or ())) for r in schema.collect()}
+    """Rules by (family, label) of a schema table; one row a label of a family, not of a sample; more than MAX_SCHEMA are an error."""
+    return {(r.family, r.label): Rule(r.action, r.bucket_type, tuple(r.top_values or ())) for r in few(schema, MAX_SCHEMA, "rules")}
 
 
 def bucketed(value: Column, kind: str | None, label: str, more: bool = False) -> Column:
@@ -85,8 +87,8 @@ def bucketed(value: Column, kind: str | None, label: str, more: bool = False) ->
 
 
 def label_names(df: DataFrame) -> list[str]:
-    """Distinct label names of the data; a small job, its result bounded by the labels' schema."""
-    return sorted(r[0] for r in df.select(F.explode(F.map_keys("labels")).alias("k")).distinct().collect())
+    """Distinct label names of the data; a small job; more than MAX_SCHEMA are an error."""
+    return sorted(r[0] for r in few(df.select(F.explode(F.map_keys("labels")).alias("k")).distinct(), MAX_SCHEMA, "label names"))
 
 
 def rewrite_labels(df: DataFrame, rules: dict[tuple[str, str], Rule] | None = None, force_drop: Sequence[str] = FORCE_DROP, names: Sequence[str] | None = None, drop_correlation: bool = False, topn_before_bucket: bool = False, all_buckets: bool = False) -> DataFrame:

@@ -437,6 +437,24 @@ def X4_collector(spark, sf_dir):
     return out.select(us("timestamp"), F.col("labels")["entity_key"].alias("entity_key"), "metric", r6("value").alias("value"))
 
 
+@query(f"""WITH {RAW}, h AS (SELECT us // 3600000000 AS h, instance, round(avg(value), 6) AS x FROM raw GROUP BY 1, 2),
+d AS (SELECT (h // 24) * 86400000000 AS us, CAST(instance AS INT) + 1 AS k, instance, count(*) AS n, max(h) - min(h) AS hours, avg(x) AS mean, max(x) AS top FROM h GROUP BY ALL)
+SELECT us, 'instance=' || instance AS entity_key, round(CASE WHEN n > 1 THEN k / 3600 ELSE 0 END, 6) AS c__rate, round(CASE WHEN n > 1 THEN k * hours ELSE 0 END, 6)::DOUBLE AS c__count,
+ round(mean, 6) AS g__mean, round(top, 6) AS g__max, 100.0::DOUBLE AS h__p50, 100.0::DOUBLE AS h__p75, 10.0::DOUBLE AS h__mean, 6.0::DOUBLE * n AS h__count FROM d""")
+def X1_all_types(spark, sf_dir):
+    """One wide table of a counter, a gauge and a histogram a instance and day, from hourly samples."""
+    e = raw.event_samples(spark, sf_dir)
+    hour = V.floor_time("timestamp", 3600)
+    h = e.groupBy(hour.alias("timestamp"), F.col("labels")["instance"].alias("instance")).agg(F.round(F.avg("value"), 6).alias("x"))
+    at = F.floor(V.epoch_seconds("timestamp") / 3600).cast("double")
+    sample = lambda metric, value, le=None: F.struct(F.lit(metric).alias("metric"), F.lit(le).cast("string").alias("le"), value.cast("double").alias("value"))
+    samples = F.array(sample("c_total", at * (F.col("instance").cast("int") + 1)), sample("g", F.col("x")), *[sample("h_bucket", F.lit(n), le) for le, n in (("10", 1), ("100", 3), ("+Inf", 6))], sample("h_sum", F.lit(60)), sample("h_count", F.lit(6)))
+    rows = h.select("timestamp", "instance", F.explode(samples).alias("s"))
+    labels = F.map_filter(F.create_map(F.lit("instance"), F.col("instance"), F.lit("le"), F.col("s.le")), lambda _, v: v.isNotNull())
+    wide = D.denormalize(rows.select("timestamp", "s.metric", labels.alias("labels"), "s.value"), window_seconds=86400, counters=("rate", "count"), gauges=("mean", "max"), counter_mode="windowed", include_deltas=False)
+    return wide.select(us("timestamp"), "entity_key", *[r6(c).alias(c) for c in ("c__rate", "c__count", "g__mean", "g__max", "h__p50", "h__p75", "h__mean", "h__count")])
+
+
 # ---- statistics and synthesis --------------------------------------------------------------------------------------
 
 
@@ -461,7 +479,7 @@ def A35_total_spread(spark, sf_dir):
 
 @query("""WITH n AS (SELECT event_type AS value, count(*) AS n FROM events GROUP BY 1), t AS (SELECT count(*) AS all_of FROM events)
 SELECT 'type' AS key, 'categorical' AS kind, value, round(n / all_of, 6) AS share FROM n, t UNION ALL SELECT 'amount', 'numeric', NULL, NULL UNION ALL SELECT 'same', 'constant', NULL, NULL""")
-def A36_shares(spark, sf_dir):
+def A36_attribute_kinds(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     pairs = F.array(F.struct(F.lit("type").alias("key"), F.col("event_type").alias("value")), F.struct(F.lit("amount").alias("key"), F.col("value").cast("string").alias("value")), F.struct(F.lit("same").alias("key"), F.lit("x").alias("value")))
     kinds = Q.attribute_kinds(e.select(F.explode(pairs).alias("p")).select("p.*"))
@@ -527,7 +545,7 @@ def N6_trace_shapes(spark, sf_dir):
 @query(f"""WITH {SPANS}, c AS (SELECT trace_id, us, us + dur AS e, dur, lag(us) OVER w AS us0, lag(us + dur) OVER w AS e0, lag(dur) OVER w AS dur0 FROM spans WHERE parent IS NOT NULL WINDOW w AS (PARTITION BY trace_id ORDER BY us, span_id)),
 p AS (SELECT o_orderpriority AS parent_service, 'order' AS parent_operation, greatest(0, least(e, e0) - greatest(us, us0)) / least(dur, dur0) AS share FROM c JOIN orders ON CAST(o_orderkey AS VARCHAR) = trace_id WHERE us0 IS NOT NULL)
 SELECT parent_service, parent_operation, round(quantile_cont(share, 0.5), 6) AS overlap, CASE WHEN quantile_cont(share, 0.5) > 0.3 THEN 'parallel' ELSE 'sequential' END AS relation FROM p GROUP BY 1, 2""")
-def W15_overlaps(spark, sf_dir):
+def W15_sibling_relation(spark, sf_dir):
     return J.sibling_relation(spans(spark, sf_dir)).select("parent_service", "parent_operation", r6("overlap").alias("overlap"), "relation")
 
 
@@ -561,12 +579,12 @@ def L5_repeated_children(spark, sf_dir):
 
 
 @query(f"""WITH {LOGS} SELECT service, severity, 'user=<NUMBER> paid <AMOUNT> from <IP>' AS template, CASE WHEN count(o_orderkey) > 0 THEN 'order' ELSE '' END AS operation, count(*) AS n FROM logs LEFT JOIN orders ON CAST(o_orderkey AS VARCHAR) = trace_id GROUP BY 1, 2""")
-def L7_operations(spark, sf_dir):
+def L7_log_profile(spark, sf_dir):
     return G.log_profile(logs(spark, sf_dir), spans(spark, sf_dir).where("parent_span_id IS NULL"))
 
 
 @query("""SELECT prefix, families FROM (VALUES ('http_server', 'http_server_body_size_bytes,http_server_duration,http_server_requests'), ('go', 'go_config_gogc,go_memory_used_bytes'), ('redis', 'redis_uptime'), ('app_cart', 'app_cart_calls,app_cart_items,app_cart_latency_seconds'),
  ('kafka_consumer', 'kafka_consumer_other,kafka_consumer_records_lag'), ('plain', 'plain'), ('db_client', 'db_client_operation_duration')) t(prefix, families)""")
-def F13_explained(spark, sf_dir):
+def F13_explain_salient(spark, sf_dir):
     return P.explain_salient(metric_names(spark)).select("prefix", F.array_join("families", ",").alias("families"))
 
