@@ -437,7 +437,8 @@ class Join:
         inter = F.size(F.array_intersect("found_a", "found_b"))
         return whole_pairs.where(100 * inter >= percent * (F.col("na") + F.col("nb") - inter)).select("ra", "rb")
 
-    def run(self) -> DataFrame:
+    def prepare(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """members, classes (a row a set: its first document and sketches) and stars."""
         members, level, penalty = self.members()
         classes = cut(members.where("n > 0").groupBy("cls").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "mark", "bits", "brief")).alias("of"), F.min("n").alias("n")).select("cls", "n", "of.none", "of.doc_id", "of.mark", "of.bits", "of.brief"))
         # sizes over 256 count as their power of 1.1: the driver gets a few hundred rows
@@ -446,6 +447,22 @@ class Join:
         plan = Plan.cheapest(self.percent, sizes, penalty)
         total = sum(n * plan.cost(s, 1.0) for s, n in sizes.items())
         stars = cut(self.stars(plan, level, max(8, int(total / BUCKET) + 1)))
+        return members, classes, stars
+
+    def links(self) -> tuple[DataFrame, DataFrame]:
+        """(a, b), a < b: every two classes that link; and (doc_id, mark, n, cls) of every row.
+
+        All members of all lists are compared, in blocks; the pairs follow the links themselves, not the copies.
+        """
+        members, classes, stars = self.prepare()
+        ends = stars.select("sig", F.col("a").alias("c"), F.col("na").alias("n")).union(stars.select("sig", "b", "nb"))
+        entries = cut(ends.distinct().withColumn("root", F.col("c")))
+        size, _, work = self.layout(entries)
+        found = self.linked(self.across(entries, size, work, classes, forest=False).drop("sig"), classes)
+        return found.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), members.select("doc_id", "mark", "n", "cls")
+
+    def run(self) -> DataFrame:
+        members, classes, stars = self.prepare()
         fits = 100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")
         near = stars.where(fits).select("a", "b", "na", "nb", F.col("a").alias("ra"), F.col("b").alias("rb"))
         roots = components(self.linked(near, classes).toDF("a", "b"))
@@ -496,6 +513,18 @@ class Join:
         return rows.join(known, F.col(column) == F.col("node"), "left").select(*rows.columns, F.coalesce(f"known_{column}", column).alias(f"root_{column}"))
 
 
+def links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """All links: (a, b) of classes of equal sets that link, and (doc_id, mark, n, cls) of every row.
+
+    Rows without words have class 0 and no link; other rules as for ``groups``.  The result may grow with the square of a
+    family of texts that all link; ``groups`` does not.
+    """
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be over 50 and at most 100")
+    ready(docs.sparkSession)
+    return Join(documents(docs).withColumn("mark", F.xxhash64("text")), k, percent).links()
+
+
 def groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, mark (text hash), n_shingles, component_id (smallest doc_id reachable by links) and component_mark of every row.
 

@@ -374,6 +374,25 @@ def test_groups(spark, k, percent):
     assert [got[i].n_shingles for i in range(len(texts))] == [len(s) for s in brute.sets(texts, k)]
 
 
+@pytest.mark.parametrize("block", [3, 1024])
+def test_all_links(spark, monkeypatch, block):
+    monkeypatch.setattr(similarity, "BLOCK", block)
+    rng = random.Random(21)
+    texts = family(rng, 14, 120, 5) + family(rng, 9, 60, 2) + ["", None, "a b"] + [words(rng, 50)] * 4
+    pairs, members = similarity.links(frame(spark, texts), 3, 80)
+    cls = {r.doc_id: r.cls for r in members.collect()}
+    sets = brute.sets(texts, 3)
+    want = set()
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and sets[i] != sets[j] and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                want.add((min(cls[i], cls[j]), max(cls[i], cls[j])))
+        assert (cls[i] == 0) == (not sets[i])
+    got = [(r.a, r.b) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 40
+
+
 def test_groups_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(similarity, "BLOCK", 7)
     monkeypatch.setattr(similarity, "MEET", 40)
