@@ -70,8 +70,7 @@ def dictionary(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN
 def covered(rows: DataFrame, words: DataFrame) -> DataFrame:
     """rows with f_dictionary, the share of the candidate's characters that lie in dictionary words; each distinct candidate is looked up once."""
     each = rows.select("candidate").distinct().select("candidate", F.explode_outer(parts(F.col("candidate"))).alias("part"))
-    known = bounded(words.select(F.col("dictionary_word")).distinct())
-    found = each.join(known, F.col("part") == F.col("dictionary_word"), "left").groupBy("candidate").agg(F.coalesce(F.sum(F.when(F.col("dictionary_word").isNotNull(), F.length("part"))), F.lit(0)).alias("letters"))
+    found = each.join(words.select("dictionary_word"), F.col("part") == F.col("dictionary_word"), "left").groupBy("candidate").agg(F.coalesce(F.sum(F.when(F.col("dictionary_word").isNotNull(), F.length("part"))), F.lit(0)).alias("letters"))
     found = bounded(cut(found.select(F.col("candidate").alias("of_candidate"), (F.col("letters") / F.greatest(F.length("candidate"), F.lit(1))).alias("f_dictionary"))))
     return rows.join(found, F.col("candidate") == F.col("of_candidate")).drop("of_candidate")
 
@@ -137,7 +136,8 @@ def generated_findings(spark: SparkSession, words: DataFrame | None = None, n: i
         F.when(F.pmod(i, F.lit(3)) > 0, F.substring(digest, F.lit(1), length)).otherwise(F.substring(mixed, F.lit(1), F.least(length, F.lit(40)))).alias("key"),
         F.substring(F.regexp_replace(F.conv(F.substring(digest, 1, 15), 16, 10), "^0*", "4"), 1, 16).alias("number"),
         F.concat_ws("-", *[F.substring(digest, a, b) for a, b in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]).alias("uuid"),
-    ).repartition(2)  # the findings below refer to these columns many times
+    )
+    base = cut(base.coalesce(2))  # the findings below refer to these columns many times
     key, number, uuid = F.col("key"), F.col("number"), F.col("uuid")
     any_case = lambda x: F.when(F.pmod(F.xxhash64(i, F.lit(2)), F.lit(5)) == 0, F.upper(x)).otherwise(x)
     text = F.lit
@@ -178,7 +178,9 @@ def generated_findings(spark: SparkSession, words: DataFrame | None = None, n: i
 def train(findings: DataFrame, words: DataFrame, trees: int = TREES, depth: int = DEPTH) -> RandomForestClassificationModel:
     """A forest on labelled findings (label, before2, before, word, candidate, after); rows without a label are left out."""
     ready(findings.sparkSession)
-    rows = features(findings.where("label IS NOT NULL"), words)
+    # the findings' and the features' plans are large and the forest reads its rows many times
+    rows = features(cut(findings.where("label IS NOT NULL")), words)
+    rows = cut(rows.select("label", *FEATURES))
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).select("features", "label")
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, maxBins=64, subsamplingRate=0.8).fit(rows.coalesce(2))
 
