@@ -299,11 +299,11 @@ class Join:
         return rows.select(pick("c", "c2").alias("a"), pick("c2", "c").alias("b"), pick("n", "n2").alias("na"), pick("n2", "n").alias("nb"), pick("root", "r2").alias("ra"), pick("r2", "root").alias("rb"))
 
     def layout(self, entries: DataFrame) -> tuple[DataFrame, int, int]:
-        """Each list's largest component and blocks, the entries, and the rows that its blocks get."""
+        """The largest component and the blocks of each list that spans several; these lists' entries, and the rows that their blocks get."""
         by_root = entries.groupBy("sig", "root").agg(F.count("*").alias("m"))
         size = by_root.groupBy("sig").agg(F.sum("m").alias("m"), F.max(F.struct("m", "root")).alias("top"))
         rest = F.col("m") - F.col("top.m")
-        size = cut(size.select(F.col("sig").alias("of_sig"), F.col("top.root").alias("top"), "m", rest.alias("rest"), F.ceil(F.col("m") / BLOCK).cast("int").alias("lefts"), F.ceil(rest / BLOCK).cast("int").alias("rights")))
+        size = cut(size.where(rest > 0).select(F.col("sig").alias("of_sig"), F.col("top.root").alias("top"), "m", rest.alias("rest"), F.ceil(F.col("m") / BLOCK).cast("int").alias("lefts"), F.ceil(rest / BLOCK).cast("int").alias("rights")))
         total, work = size.agg(F.sum("m"), F.sum(F.col("m") * F.col("rights") + F.col("rest") * F.col("lefts"))).first()
         return size, total or 0, work or 0
 
@@ -404,17 +404,18 @@ class Join:
 
         return rows.groupBy("key").applyInArrow(meet, f"{PAIR}, sig bigint")
 
-    def linked(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The pairs (a, b, na, nb, ra, rb) that link, as (ra, rb).
+    def linked(self, pairs: DataFrame, classes: DataFrame, every: bool = False) -> DataFrame:
+        """The pairs (a, b, na, nb, ra, rb) that link, as (ra, rb), or, without ra and rb, as (a, b); every: most classes are in some pair.
 
         Parities give a lower bound of how many shingles a pair differs in, and rule out pairs that differ in too many;
         the sets of the others are read again from one document of each class and intersected.
         """
         k, percent = self.k, self.percent
+        ends = [c for c in pairs.columns if c in ("ra", "rb")]
         pairs = cut(pairs.distinct())
         nodes = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("need")).distinct()
         known = classes
-        if pairs.limit(BROADCAST_ROWS // 2 + 1).count() <= BROADCAST_ROWS // 2:
+        if not every and pairs.limit(BROADCAST_ROWS // 2 + 1).count() <= BROADCAST_ROWS // 2:
             known = classes.join(F.broadcast(nodes(pairs)), F.col("cls") == F.col("need"), "left_semi")
         sketch = known.select("cls", "bits")
         pairs = pairs.join(sketch.toDF("a", "bits_a"), "a").join(sketch.toDF("b", "bits_b"), "b")
@@ -422,7 +423,7 @@ class Join:
         a, b = F.col("bits_a"), F.col("bits_b")  # sizes that fit differ by less than 2, so at most one is halved
         a, b = F.when(F.size(a) > F.size(b), half(a)).otherwise(a), F.when(F.size(b) > F.size(a), half(b)).otherwise(b)
         differ = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-        pairs = cut(pairs.where((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb", "ra", "rb"))
+        pairs = cut(pairs.where((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb", *ends))
         wanted = classes.join(bounded(cut(nodes(pairs))), F.col("cls") == F.col("need"), "left_semi").select("cls", F.col("doc_id").alias("of_doc"), F.col("mark").alias("of_mark"))
         wanted = bounded(cut(wanted))
 
@@ -435,7 +436,7 @@ class Join:
         sets = texts.mapInArrow(lean(run), "cls bigint, found array<bigint>").dropDuplicates(["cls"])  # rows may repeat a doc_id and a text
         whole_pairs = pairs.join(sets.toDF("b", "found_b"), "b").join(sets.toDF("a", "found_a"), "a")
         inter = F.size(F.array_intersect("found_a", "found_b"))
-        return whole_pairs.where(100 * inter >= percent * (F.col("na") + F.col("nb") - inter)).select("ra", "rb")
+        return whole_pairs.where(100 * inter >= percent * (F.col("na") + F.col("nb") - inter)).select(*(ends or ("a", "b")))
 
     def prepare(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """members, classes (a row a set: its first document and sketches) and stars."""
@@ -464,8 +465,8 @@ class Join:
     def run(self) -> DataFrame:
         members, classes, stars = self.prepare()
         fits = 100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")
-        near = stars.where(fits).select("a", "b", "na", "nb", F.col("a").alias("ra"), F.col("b").alias("rb"))
-        roots = components(self.linked(near, classes).toDF("a", "b"))
+        near = stars.where(fits).select("a", "b", "na", "nb")
+        roots = components(self.linked(near, classes, every=True))
         # lists that still span several components
         rooted = self._rooted(self._rooted(stars, roots, "a"), roots, "b")
         open_sigs = bounded(cut(rooted.where("root_a <> root_b").select("sig").distinct()))
@@ -474,12 +475,11 @@ class Join:
         steps = [roots]
 
         def merge(pairs: DataFrame, lists: DataFrame | None = None) -> DataFrame:
-            """The entries, of these lists only, that are still open after the pairs' links."""
+            """The entries, of these lists only, with their roots after the pairs' links."""
             steps.append(components(self.linked(pairs, classes).toDF("a", "b")))
             rows = entries if lists is None else entries.join(bounded(lists), F.col("sig") == F.col("of_sig"), "left_semi")
-            rows = self._rooted(rows.withColumnRenamed("root", "was"), steps[-1], "was").withColumnRenamed("root_was", "root").drop("was")
-            still = bounded(cut(rows.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("sig")))
-            return cut(rows.join(still, "sig", "left_semi").select("sig", "c", "n", "root"))
+            rows = self._rooted(rows.withColumnRenamed("root", "was"), steps[-1], "was").withColumnRenamed("root_was", "root")
+            return cut(rows.select("sig", "c", "n", "root"))
 
         size, count, work = self.layout(entries)
         for number in range(HUBS):
