@@ -318,7 +318,7 @@ class Join:
         """
         percent = self.percent
         keys = work // MEET + 1
-        rows = entries.join(bounded(size), F.col("sig") == F.col("of_sig"))
+        rows = entries.join(size, F.col("sig") == F.col("of_sig"))
         own = lambda blocks: F.pmod(F.xxhash64("c"), F.col(blocks)).cast("int")
         all_of = lambda blocks: F.sequence(F.lit(0), F.col(blocks) - 1)
         left = F.transform(all_of("rights"), lambda o: F.struct(own("lefts").alias("x"), o.alias("y"), F.lit(0).alias("side")))
@@ -469,15 +469,14 @@ class Join:
         roots = components(self.linked(near, classes, every=True))
         # lists that still span several components
         rooted = self._rooted(self._rooted(stars, roots, "a"), roots, "b")
-        open_sigs = bounded(cut(rooted.where("root_a <> root_b").select("sig").distinct()))
-        entries = rooted.join(open_sigs, "sig", "left_semi")
+        entries = rooted.join(rooted.where("root_a <> root_b").select("sig").distinct(), "sig", "left_semi")
         entries = cut(entries.select("sig", F.col("a").alias("c"), F.col("na").alias("n"), F.col("root_a").alias("root")).union(entries.select("sig", "b", "nb", "root_b")).distinct())
         steps = [roots]
 
         def merge(pairs: DataFrame, lists: DataFrame | None = None) -> DataFrame:
             """The entries, of these lists only, with their roots after the pairs' links."""
             steps.append(components(self.linked(pairs, classes).toDF("a", "b")))
-            rows = entries if lists is None else entries.join(bounded(lists), F.col("sig") == F.col("of_sig"), "left_semi")
+            rows = entries if lists is None else entries.join(lists, F.col("sig") == F.col("of_sig"), "left_semi")
             rows = self._rooted(rows.withColumnRenamed("root", "was"), steps[-1], "was").withColumnRenamed("root_was", "root")
             return cut(rows.select("sig", "c", "n", "root"))
 
@@ -492,7 +491,7 @@ class Join:
                 break
         if count:
             found = cut(self.across(entries, size, work, classes, forest=True))
-            entries = merge(found.where("sig IS NULL").drop("sig"), cut(found.where("sig IS NOT NULL").select(F.col("sig").alias("of_sig")).distinct()))
+            entries = merge(found.where("sig IS NULL").drop("sig"), found.where("sig IS NOT NULL").select(F.col("sig").alias("of_sig")).distinct())
             size, count, work = self.layout(entries)
         if count:
             steps.append(components(self.linked(self.across(entries, size, work, classes, forest=False).drop("sig"), classes).toDF("a", "b")))
