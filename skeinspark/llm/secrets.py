@@ -113,12 +113,13 @@ def generated_findings(spark: SparkSession, words: DataFrame | None = None, n: i
     common = [] if words is None else [r[0] for r in words.orderBy(F.desc("docs"), "dictionary_word").limit(USED).collect()]
     pieces_of = tuple(sorted({*PIECES, *common}))
     i = F.col("id")
-    pick_of = lambda values, salt: F.element_at(F.array(*map(F.lit, values)), (F.pmod(F.xxhash64(i, F.lit(salt)), F.lit(len(values))) + 1).cast("int"))
+    listed = lambda values: F.split(F.lit("\x01".join(values)), "\x01", -1)  # noqa: E731  one literal, however many values
+    pick_of = lambda values, salt: F.element_at(listed(values), (F.pmod(F.xxhash64(i, F.lit(salt)), F.lit(len(values))) + 1).cast("int"))
     prose = ("that", "the", "with", "une", "der", "los", "on", "is", "", "of")
     base = spark.range(n // 21).select(
         "id",
         F.sha2(F.concat(F.lit("finding"), i.cast("string")), 256).alias("digest"),
-        pick_of((20, 24, 32, 40, 40, 64), 1).alias("length"),
+        pick_of(("20", "24", "32", "40", "40", "64"), 1).cast("int").alias("length"),
         pick_of(SECRET_WORDS, 3).alias("name"),
         pick_of(OTHER_WORDS, 14).alias("other"),
         pick_of(prose, 11).alias("prose"),
@@ -127,7 +128,7 @@ def generated_findings(spark: SparkSession, words: DataFrame | None = None, n: i
         pick_of(pieces_of, 16).alias("piece"),
         pick_of(("", "the", "is", "", *AFTER_SECRET), 18).alias("after_secret"),
         pick_of(("", "the", "is", "", *AFTER_OTHER), 19).alias("after_other"),
-        pick_of((8, 9, 10, 12, 14, 15), 20).alias("short"),
+        pick_of(("8", "9", "10", "12", "14", "15"), 20).cast("int").alias("short"),
     )
     digest, length, name, other, before2, before, pieces, piece = map(F.col, ("digest", "length", "name", "other", "prose", "prose2", "pieces", "piece"))
     mixed = F.regexp_replace(F.base64(F.unhex(digest)), "[+/=]", "x")
