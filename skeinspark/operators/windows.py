@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.base import present
 from ..functions.labels import labels_json
-from ..functions.values import epoch_seconds, floor_time
+from ..functions.values import floor_time
 from .frame import rolling
 
 SERIES = ("metric", "labels_key")
@@ -47,10 +47,14 @@ def sample_by_time(df: DataFrame, step_seconds: float, keys: Sequence[str] = SER
 
 
 def scrape_interval(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
-    """seconds: the most frequent distance of neighbouring samples of a series (the smaller of equals)."""
-    step = epoch_seconds("timestamp") - F.lag(epoch_seconds("timestamp")).over(Window.partitionBy(*keys).orderBy("timestamp"))
-    counts = df.select(step.alias("seconds")).where("seconds > 0").groupBy("seconds").agg(F.count("*").alias("n"))
-    return counts.agg(F.min_by("seconds", F.struct(-F.col("n"), "seconds")).alias("seconds"))
+    """seconds: the most frequent distance of neighbouring samples of a series (the smaller of equals).
+
+    Distances are counted in whole microseconds; differences of seconds since the epoch would be several doubles for one distance.
+    """
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    step = at - F.lag(at).over(Window.partitionBy(*keys).orderBy(at))
+    counts = df.select(step.alias("step")).where("step > 0").groupBy("step").agg(F.count("*").alias("n"))
+    return counts.agg((F.min_by("step", F.struct(-F.col("n"), "step")) / 1_000_000).alias("seconds"))
 
 
 def tumbling(df: DataFrame, minutes: float, step_seconds: float) -> DataFrame:

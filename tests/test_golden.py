@@ -321,6 +321,14 @@ def test_resample(spark):
     assert W.scrape_interval(W.with_series(rows)).first().seconds in (25.0, 40.0, 50.0)
 
 
+def test_scrape_interval_in_microseconds(spark):
+    # a tenth of a second three times, which are three different differences of doubles; a quarter twice, which are one
+    times = ["00:00:01.000000", "00:00:01.100000", "00:07:05.300000", "00:07:05.400000", "01:11:02.700000", "01:11:02.800000", "02:00:00.250000", "02:00:00.500000", "02:00:00.750000"]
+    rows = samples(spark, [(f"2024-01-01 {t}", "m", {"a": "b"}, 1.0) for t in times])
+    assert W.scrape_interval(W.with_series(rows)).first().seconds == 0.1
+    assert W.scrape_interval(W.with_series(rows.limit(0))).first().seconds is None
+
+
 def test_prometheus_source(spark):
     import json as j
     import threading

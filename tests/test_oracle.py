@@ -42,3 +42,11 @@ def test_query(name, spark, sf, duck):
     assert sorted(names) == columns
     wanted = sorted((tuple(plain(r[names.index(c)]) for c in columns) for r in found.fetchall()), key=order)
     assert rows == wanted
+
+
+def test_scrape_interval_of_moved_copies(spark, sf, duck, tmp_path):
+    """Copies of a series at other times: each distance occurs as often as there are copies, whatever doubles the times make."""
+    spread = f"SELECT event_id + 1000000 * i AS event_id, ts + i * INTERVAL '31 days 00:00:00.3' AS ts, user_id + 10 * i AS user_id, event_type, value, props FROM '{sf}/events.parquet', range(8) r(i)"
+    duck.execute(f"COPY ({spread}) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    wanted = duck.execute(ORACLE_SQL["S12_scrape_interval"].replace("FROM events", f"FROM '{tmp_path}/events.parquet'")).fetchall()
+    assert [tuple(map(plain, r)) for r in QUERIES["S12_scrape_interval"](spark, str(tmp_path)).collect()] == wanted
