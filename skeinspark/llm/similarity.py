@@ -11,7 +11,8 @@ from common; it decides only the order and the cost, never the result.
 
 Candidates.  A list never becomes all its pairs.  Rounds, each on lists that still span several components only:
 
-1. each task, then each bucket, ties the members of a list to the member with the smallest class number;
+1. each task, then each bucket, ties the members of a list to the member with the smallest class number; then lists
+   are cut where neighbouring sizes cannot link, and members that are alone are left out;
 2. as long as comparing in blocks would cost more than WIDE rows an entry, members are tied to another hub, one of
    small hash, if they are not in its component;
 3. members are compared across components, but of the candidates a task finds only those go on that tie
@@ -33,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -298,6 +299,17 @@ class Join:
         pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
         return rows.select(pick("c", "c2").alias("a"), pick("c2", "c").alias("b"), pick("n", "n2").alias("na"), pick("n2", "n").alias("nb"), pick("root", "r2").alias("ra"), pick("r2", "root").alias("rb"))
 
+    def fitting(self, entries: DataFrame) -> DataFrame:
+        """The entries (sig, c, n, root) of lists that are cut, in order of size, where two neighbours' sizes cannot link, without those then alone.
+
+        Members that link are in one part, as all sizes between theirs fit both; each part gets a signature of its own.
+        """
+        over = Window.partitionBy("sig").orderBy("n", "c")
+        fits = lambda less, more: F.coalesce(100 * less >= self.percent * more, F.lit(False))
+        rows = entries.select("sig", "c", "n", "root", fits(F.lag("n").over(over), F.col("n")).alias("below"), fits(F.col("n"), F.lead("n").over(over)).alias("above"))
+        first = F.last(F.when(~F.col("below"), F.col("n")), ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, 0))
+        return rows.withColumn("first", first).where("below OR above").select(F.xxhash64("sig", "first").alias("sig"), "c", "n", "root")
+
     def layout(self, entries: DataFrame) -> tuple[DataFrame, int, int]:
         """The largest component and the blocks of each list that spans several; these lists' entries, and the rows that their blocks get."""
         by_root = entries.groupBy("sig", "root").agg(F.count("*").alias("m"))
@@ -307,30 +319,42 @@ class Join:
         total, work = size.agg(F.sum("m"), F.sum(F.col("m") * F.col("rights") + F.col("rest") * F.col("lefts"))).first()
         return size, total or 0, work or 0
 
-    def across(self, entries: DataFrame, size: DataFrame, work: int, classes: DataFrame, forest: bool) -> DataFrame:
-        """Pairs (a, b, na, nb, ra, rb) of entries (sig, c, n, root) that share a signature, have different roots and
-        sizes that fit, and whose parities do not rule them out; with ``forest`` only those that tie roots not yet tied in
-        a task, and besides, in rows without a pair, the sig of each list with a candidate.
+    def meetings(self, entries: DataFrame, size: DataFrame, work: int, classes: DataFrame) -> DataFrame:
+        """Each member of each list that spans several components, with its sketch, for each meeting (sig, x, y) of two blocks that it goes to, and its side.
 
-        A list's members are its left side, those outside its largest component its right side.  Both are cut into blocks
-        of BLOCK members, and each left block meets each right block in some task.  A pair of two right members is looked
-        at where the one with the smaller class is on the left.
+        Side 0 is left, 1 right; 2, a member on both sides of a list with a single block, is sent once.
         """
-        percent = self.percent
         keys = work // MEET + 1
         rows = entries.join(size, F.col("sig") == F.col("of_sig"))
         own = lambda blocks: F.pmod(F.xxhash64("c"), F.col(blocks)).cast("int")
         all_of = lambda blocks: F.sequence(F.lit(0), F.col(blocks) - 1)
         left = F.transform(all_of("rights"), lambda o: F.struct(own("lefts").alias("x"), o.alias("y"), F.lit(0).alias("side")))
         right = F.transform(all_of("lefts"), lambda o: F.struct(o.alias("x"), own("rights").alias("y"), F.lit(1).alias("side")))
+        both = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(2).alias("side")))
         rows = rows.withColumn("outer", F.col("root") != F.col("top"))
-        rows = rows.select("sig", "c", "n", "root", "outer", F.explode(F.when(F.col("outer"), F.concat(left, right)).otherwise(left)).alias("at"))
+        rows = rows.select("sig", "c", "n", "root", "outer", F.explode(F.when(~F.col("outer"), left).when(F.col("lefts") == 1, both).otherwise(F.concat(left, right))).alias("at"))
         rows = rows.join(classes.select(F.col("cls").alias("c"), F.col("brief").alias("bits")), "c")
-        rows = rows.select(F.pmod(F.xxhash64("sig", "at.x", "at.y"), F.lit(keys)).alias("key"), "sig", "at.x", "at.y", "at.side", "c", "n", "root", "outer", "bits")
+        return rows.select(F.pmod(F.xxhash64("sig", "at.x", "at.y"), F.lit(keys)).alias("key"), "sig", "at.x", "at.y", "at.side", "c", "n", "root", "outer", "bits")
+
+    def across(self, entries: DataFrame, size: DataFrame, work: int, classes: DataFrame, forest: bool) -> DataFrame:
+        """Pairs (a, b, na, nb, ra, rb) of entries (sig, c, n, root) that share a signature, have different roots and
+        sizes that fit, and whose parities do not rule them out; with ``forest`` only those that tie roots not yet tied in
+        a task, and besides, in rows without a pair, the sig of each list with a candidate.
+
+        A list's members are its left side, those outside its largest component its right side.  Both are cut into blocks
+        of BLOCK members, and each left block meets each right block in some task.  A pair of two right members is looked
+        at where the one with the smaller class is on the left.
+        """
+        percent = self.percent
+        rows = self.meetings(entries, size, work, classes)
 
         def meet(part: pa.Table) -> pa.Table:
             sig, x, y, side, c, n, root, outer = (part.column(k).to_numpy() for k in ("sig", "x", "y", "side", "c", "n", "root", "outer"))
             bits = part.column("bits").combine_chunks().flatten().to_numpy().view(U).reshape(len(c), -1)
+            twice = np.flatnonzero(side == 2)
+            at = np.concatenate((np.arange(len(c)), twice))
+            sig, x, y, c, n, root, outer, bits = (z[at] for z in (sig, x, y, c, n, root, outer, bits))
+            side = np.concatenate((side % 2, np.ones(len(twice), side.dtype)))
             distinct, of = np.unique(root, return_inverse=True)
             label = np.arange(len(distinct))  # equal for roots that candidates have tied, in a forest
             order = np.lexsort((side, y, x, sig))
@@ -470,7 +494,9 @@ class Join:
         # lists that still span several components
         rooted = self._rooted(self._rooted(stars, roots, "a"), roots, "b")
         entries = rooted.join(rooted.where("root_a <> root_b").select("sig").distinct(), "sig", "left_semi")
-        entries = cut(entries.select("sig", F.col("a").alias("c"), F.col("na").alias("n"), F.col("root_a").alias("root")).union(entries.select("sig", "b", "nb", "root_b")).distinct())
+        end = lambda c: F.struct(F.col(c).alias("c"), F.col(f"n{c}").alias("n"), F.col(f"root_{c}").alias("root"))
+        entries = entries.select("sig", F.explode(F.array(end("a"), end("b"))).alias("end")).select("sig", "end.*").distinct()
+        entries = cut(self.fitting(entries))  # one shuffle by sig serves the join, distinct and fitting
         steps = [roots]
 
         def merge(pairs: DataFrame, lists: DataFrame | None = None) -> DataFrame:

@@ -405,6 +405,42 @@ def test_groups_in_small_blocks(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == brute.groups(list(range(len(texts))), texts, 3, 90)
 
 
+@pytest.mark.parametrize("percent", [90, 60])
+def test_lists_hold_members_that_fit(spark, monkeypatch, percent):
+    """Texts of unlike sizes share passages: of their lists only members go on whose size fits another's; no link is lost."""
+    seen, layout = [], similarity.Join.layout
+
+    def watched(self, entries):
+        seen.append([(r.sig, r.n) for r in entries.select("sig", "n").collect()])
+        return layout(self, entries)
+
+    monkeypatch.setattr(similarity.Join, "layout", watched)
+    rng = random.Random(31)
+    passages = [words(rng, 40, 10**9) for _ in range(20)]  # in two texts each: rare, so among the first shingles of both
+    texts = [f"{p} {words(rng, n, 10**9)}" for p in passages for n in (20, 200)]
+    texts += family(rng, 12, 40, 6) + family(rng, 12, 90, 12)
+    got = {r.doc_id: r.component_id for r in similarity.groups(frame(spark, texts), 3, percent).collect()}
+    assert [got[i] for i in range(len(texts))] == brute.groups(list(range(len(texts))), texts, 3, percent)
+    lists = collections.defaultdict(list)
+    for sig, n in seen[0]:
+        lists[sig].append(n)
+    assert lists
+    for sizes in map(sorted, lists.values()):
+        assert len(sizes) > 1 and all(100 * x >= percent * y for x, y in zip(sizes, sizes[1:]))
+
+
+@pytest.mark.parametrize(("block", "sent"), [(1024, 50), (7, 50 * 7 + 45 * 8)])
+def test_a_member_is_sent_once_to_a_block(spark, monkeypatch, block, sent):
+    monkeypatch.setattr(similarity, "BLOCK", block)
+    entries = spark.createDataFrame([(1, i, 100, max(0, i - 4)) for i in range(50)], "sig bigint, c bigint, n bigint, root bigint")
+    classes = spark.createDataFrame([(i, [0] * 16) for i in range(50)], "cls bigint, brief array<bigint>")
+    join = similarity.Join(frame(spark, []), 3, 90)
+    size, _, work = join.layout(entries)
+    rows = join.across(entries, size, work, classes, forest=False).select("a", "b").collect()
+    assert sorted({(r.a, r.b) for r in rows}) == [(i, j) for i in range(50) for j in range(i + 1, 50) if j > 4]
+    assert join.meetings(entries, size, work, classes).count() == sent
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.sampled_from([60, 80, 90]), st.integers(0, 20), st.sets(st.integers(0, 40), min_size=1, max_size=40), st.sets(st.integers(0, 40), max_size=4))
 def test_linked_sets_share_a_signature(percent, boundary, a, change):
